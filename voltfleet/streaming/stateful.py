@@ -1,0 +1,243 @@
+"""Per-vehicle state across micro-batches: last-100 window and previous record.
+
+Both keep a small, bounded state per vehicle. Records of one micro-batch are put in
+time order first; how many there can be is set at the source (``per_trigger``).
+A record older than the newest one already seen is late: it is dropped and counted
+in the state, or with ``late="insert"`` put in its place among the kept records.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from voltfleet.settings import DEFAULTS, Settings
+
+_VALUES = (
+    "speed",
+    "soc",
+    "battery_voltage",
+    "battery_current",
+    "battery_temperature",
+    "motor_temperature",
+)
+
+_WINDOW_OUT = T.StructType(
+    [
+        T.StructField("window_end_time", T.TimestampType()),
+        T.StructField("vehicle_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("window_duration", T.DoubleType()),
+        T.StructField("record_count", T.LongType()),
+        T.StructField("instantaneous_power", T.DoubleType()),
+        T.StructField("battery_temp_rate", T.DoubleType()),
+        T.StructField("motor_temp_rate", T.DoubleType()),
+        T.StructField("avg_speed", T.DoubleType()),
+        T.StructField("max_speed", T.DoubleType()),
+        T.StructField("min_speed", T.DoubleType()),
+        T.StructField("soc_rate", T.DoubleType()),
+        T.StructField("latest_soc", T.DoubleType()),
+        T.StructField("energy_consumed", T.DoubleType()),
+        T.StructField("battery_temperature", T.DoubleType()),
+        T.StructField("motor_temperature", T.DoubleType()),
+        T.StructField("battery_voltage", T.DoubleType()),
+        T.StructField("battery_current", T.DoubleType()),
+        T.StructField("late_records", T.LongType()),
+    ]
+)
+
+_PAIR_OUT = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("vehicle_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("instantaneous_power_kw", T.DoubleType()),
+        T.StructField("soc", T.DoubleType()),
+        T.StructField("battery_temp", T.DoubleType()),
+        T.StructField("motor_temp", T.DoubleType()),
+        T.StructField("speed", T.DoubleType()),
+        T.StructField("battery_temp_rate", T.DoubleType()),
+        T.StructField("motor_temp_rate", T.DoubleType()),
+        T.StructField("soc_rate_per_hour", T.DoubleType()),
+        T.StructField("late_records", T.LongType()),
+    ]
+)
+
+# Kept records of a vehicle: times in microseconds, one array per value.
+_STATE = T.StructType(
+    [
+        T.StructField("at", T.ArrayType(T.LongType())),
+        T.StructField("seq", T.ArrayType(T.LongType())),
+        *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in _VALUES],
+        T.StructField("late", T.LongType()),
+    ]
+)
+
+
+def _half_up(value: Any, digits: int) -> Any:
+    scale = float(10**digits)
+    return np.floor(value * scale + 0.5) / scale
+
+
+def _thousandths(value: pd.Series) -> np.ndarray:
+    return np.floor(value.fillna(0.0).to_numpy() * 1000.0 + 0.5).astype("int64")
+
+
+def _kept(state: GroupState) -> tuple[pd.DataFrame, int]:
+    columns = ["at", "seq", *_VALUES]
+    if not state.exists:
+        return pd.DataFrame({c: pd.Series(dtype="int64" if c in ("at", "seq") else "float64") for c in columns}), 0
+    *arrays, late = state.get
+    frame = pd.DataFrame(
+        {
+            c: np.array([np.nan if v is None else v for v in values], dtype="float64")
+            if c in _VALUES
+            else np.array(values, dtype="int64")
+            for c, values in zip(columns, arrays)
+        }
+    )
+    return frame, late
+
+
+def _keep(state: GroupState, frame: pd.DataFrame, late: int) -> None:
+    values = [frame[c].tolist() for c in ("at", "seq")]
+    values += [[None if np.isnan(v) else v for v in frame[c].tolist()] for c in _VALUES]
+    state.update((*values, late))
+
+
+def _arrivals(
+    batches: Iterator[pd.DataFrame], history: pd.DataFrame, late: int, insert: bool
+) -> tuple[pd.DataFrame, int]:
+    """History and new records in time order; ``new`` marks what to report on."""
+    arrived = pd.concat(list(batches), ignore_index=True)
+    at = arrived["timestamp"].to_numpy().astype("datetime64[us]").astype("int64")
+    arrived = arrived.assign(at=at)[["at", "seq", *_VALUES]]
+    arrived[list(_VALUES)] = arrived[list(_VALUES)].astype("float64")
+    if len(history) and not insert:
+        in_time = arrived["at"] >= history["at"].iloc[-1]
+        late += int((~in_time).sum())
+        arrived = arrived[in_time]
+    arrived = arrived.assign(new=True)
+    rows = pd.concat([history.assign(new=False), arrived]) if len(history) else arrived
+    return rows.sort_values(["at", "seq"], kind="stable", ignore_index=True), late
+
+
+def _step_window(cfg: Settings, insert: bool):
+    size = cfg.window_records
+
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        history, late = _kept(state)
+        rows, late = _arrivals(batches, history, late, insert)
+        index = np.arange(len(rows))
+        first = np.maximum(index - size + 1, 0)
+        seconds = (rows["at"].to_numpy() - rows["at"].to_numpy()[first]) // 1_000_000
+        duration = np.where(seconds == 0, 1.0, seconds.astype("float64"))
+
+        def since(totals: np.ndarray, start: np.ndarray) -> np.ndarray:
+            """Sum of the positions after ``start`` up to each row's own."""
+            return totals - np.where(start >= 0, totals[np.maximum(start, 0)], 0)
+
+        change = {c: rows[c].to_numpy() - rows[c].to_numpy()[first] for c in _VALUES}
+        speed_sum = since(np.cumsum(_thousandths(rows["speed"])), first - 1)
+        speed_count = since(np.cumsum(rows["speed"].notna().to_numpy()), first - 1)
+        gross = rows["battery_voltage"] * rows["battery_current"].abs()
+        gross_sum = since(np.cumsum(_thousandths(gross)), first)
+        frame = rows["speed"].rolling(size, min_periods=1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = speed_sum.astype("float64") / (speed_count * 1000.0)
+        out = pd.DataFrame(
+            {
+                "window_end_time": rows["at"].to_numpy().astype("datetime64[us]"),
+                "vehicle_id": key[0],
+                "seq": rows["seq"],
+                "window_duration": duration,
+                "record_count": index - first + 1,
+                "instantaneous_power": _half_up(
+                    rows["battery_voltage"] * rows["battery_current"] / 1000.0, 2
+                ),
+                "battery_temp_rate": _half_up(change["battery_temperature"] / duration, 4),
+                "motor_temp_rate": _half_up(change["motor_temperature"] / duration, 4),
+                "avg_speed": _half_up(mean, 2),
+                "max_speed": _half_up(frame.max(), 2),
+                "min_speed": _half_up(frame.min(), 2),
+                "soc_rate": _half_up(change["soc"] / duration * 3600.0, 4),
+                "latest_soc": rows["soc"],
+                "energy_consumed": _half_up(
+                    gross_sum / 1000.0 / 1000.0 * float(cfg.window_record_seconds) / 3600.0, 4
+                ),
+                "battery_temperature": rows["battery_temperature"],
+                "motor_temperature": rows["motor_temperature"],
+                "battery_voltage": rows["battery_voltage"],
+                "battery_current": rows["battery_current"],
+                "late_records": late,
+            }
+        )
+        _keep(state, rows.tail(size), late)
+        yield out[rows["new"].to_numpy() & (index > 0)]
+
+    return step
+
+
+def _step_pair(cfg: Settings, insert: bool):
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        history, late = _kept(state)
+        rows, late = _arrivals(batches, history, late, insert)
+        seconds = rows["at"].diff() / 1_000_000
+        elapsed = seconds.where(seconds > 0)
+        rate = lambda c: rows[c].diff() / elapsed
+        out = pd.DataFrame(
+            {
+                "timestamp": rows["at"].to_numpy().astype("datetime64[us]"),
+                "vehicle_id": key[0],
+                "seq": rows["seq"],
+                "instantaneous_power_kw": _half_up(
+                    rows["battery_voltage"] * rows["battery_current"] / 1000.0, 2
+                ),
+                "soc": rows["soc"],
+                "battery_temp": rows["battery_temperature"],
+                "motor_temp": rows["motor_temperature"],
+                "speed": rows["speed"],
+                "battery_temp_rate": _half_up(rate("battery_temperature"), 4),
+                "motor_temp_rate": _half_up(rate("motor_temperature"), 4),
+                "soc_rate_per_hour": _half_up(rate("soc") * 3600.0, 4),
+                "late_records": late,
+            }
+        )
+        _keep(state, rows.tail(1), late)
+        yield out[rows["new"].to_numpy()]
+
+    return step
+
+
+def _per_vehicle(stream: DataFrame, step, out: T.StructType) -> DataFrame:
+    needed = ["vehicle_id", "timestamp", "seq", *_VALUES]
+    known = stream.filter("vehicle_id IS NOT NULL AND timestamp IS NOT NULL").select(*needed)
+    return known.groupBy("vehicle_id").applyInPandasWithState(
+        step, out, _STATE, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def _insert(late: str) -> bool:
+    if late not in ("drop", "insert"):
+        raise ValueError(f"late must be drop or insert, not {late}")
+    return late == "insert"
+
+
+def stream_window_metrics(
+    stream: DataFrame, cfg: Settings = DEFAULTS, late: str = "drop"
+) -> DataFrame:
+    """Per record, from each vehicle's second one on: metrics of its last 100 records."""
+    return _per_vehicle(stream, _step_window(cfg, _insert(late)), _WINDOW_OUT)
+
+
+def stream_pairwise_metrics(
+    stream: DataFrame, cfg: Settings = DEFAULTS, late: str = "drop"
+) -> DataFrame:
+    """Per record: power, and rates against the vehicle's previous record."""
+    return _per_vehicle(stream, _step_pair(cfg, _insert(late)), _PAIR_OUT)
