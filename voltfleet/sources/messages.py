@@ -27,9 +27,12 @@ def envelope(messages: DataFrame, topic: str, sent_at_ms: int) -> DataFrame:
 
 
 def decode(
-    messages: DataFrame, schema: T.StructType = RAW_SCHEMA_WITH_SEQ, keep_malformed: bool = False
+    messages: DataFrame,
+    schema: T.StructType = RAW_SCHEMA_WITH_SEQ,
+    keep_malformed: bool = False,
+    time: str = "timestamp",
 ) -> DataFrame:
-    """Messages back to records; ``timestamp`` becomes a TIMESTAMP for watermarks.
+    """Messages back to rows; their ``time`` becomes a TIMESTAMP for watermarks.
 
     What is no valid record is dropped, or kept as text in ``malformed``.
     """
@@ -38,7 +41,7 @@ def decode(
         F.col("value").cast("string"), fields, {"columnNameOfCorruptRecord": "malformed"}
     )
     rows = messages.select(parsed.alias("r")).select("r.*")
-    rows = rows.withColumn("timestamp", F.try_to_timestamp("timestamp", F.lit(TIME_FORMAT)))
+    rows = rows.withColumn(time, F.try_to_timestamp(time, F.lit(TIME_FORMAT)))
     if keep_malformed:
         return rows
     return rows.filter("malformed IS NULL AND vehicle_id IS NOT NULL").drop("malformed")

@@ -52,6 +52,13 @@ _WINDOW_OUT = T.StructType(
     ]
 )
 
+
+def window_schema(text_time: bool = False) -> T.StructType:
+    """Schema of the window metrics; as messages their time is text."""
+    kind = T.StringType() if text_time else T.TimestampType()
+    return T.StructType([T.StructField("window_end_time", kind), *_WINDOW_OUT.fields[1:]])
+
+
 _PAIR_OUT = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),
