@@ -21,11 +21,11 @@ METHOD_NAMES = {
 }
 
 
-def null_counts(df: DataFrame, columns: list[str] | None = None) -> dict[str, int]:
-    """Nulls per column, in one pass."""
-    columns = columns or [c for c in FIELDS if c in df.columns]
-    counts = df.selectExpr(*named({c: f"count_if({c} IS NULL)" for c in columns}))
-    return counts.first().asDict()
+def null_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Records, and nulls per field, in one pass."""
+    columns = {c: f"count_if({c} IS NULL)" for c in FIELDS if c in df.columns}
+    counts = df.selectExpr(*named({"records": "count(*)", **columns})).first().asDict()
+    return counts.pop("records"), counts
 
 
 def fill_plan(
@@ -38,7 +38,8 @@ def fill_plan(
     flag never becomes a fraction.
     """
     strategy = dict(cfg.fill_strategy if strategy is None else strategy)
-    nulls = {c: n for c, n in null_counts(df).items() if n > 0}
+    records, counts = null_counts(df)
+    nulls = {c: n for c, n in counts.items() if n > 0}
     how = {c: strategy.get(c, strategy.get("default", "median")) for c in nulls}
     unknown = {m for m in how.values() if m not in METHOD_NAMES}
     if unknown:
@@ -46,7 +47,8 @@ def fill_plan(
     numeric, whole = set(numeric_columns(df)), integer_columns(df)
     how = {c: m for c, m in how.items() if m in ("ffill", "bfill") or c in numeric}
 
-    medians = exact_quantiles(df, [c for c, m in how.items() if m == "median"], [0.5], cfg)
+    median_of = [c for c, m in how.items() if m == "median"]
+    medians = exact_quantiles(df, median_of, [0.5], cfg, records)
     values = {c: v[0] for c, v in medians.items()}
     mean_of = [c for c, m in how.items() if m == "mean"]
     if mean_of:
@@ -60,7 +62,7 @@ def fill_plan(
     ]
 
 
-def apply_fill(df: DataFrame, plan: list[dict]) -> DataFrame:
+def apply_fill(df: DataFrame, plan: list[dict], scope: str = "vehicle") -> DataFrame:
     constants = {p["column"]: p["value"] for p in plan if p["value"] is not None}
     kinds = dict(df.dtypes)
     df = df.withColumns(
@@ -69,11 +71,18 @@ def apply_fill(df: DataFrame, plan: list[dict]) -> DataFrame:
     forward = [p["column"] for p in plan if p["strategy"] == "ffill"]
     backward = [p["column"] for p in plan if p["strategy"] == "bfill"]
     if forward or backward:
-        df = fill_along_time(with_date(df), forward, backward)
+        df = fill_along_time(with_date(df), forward, backward, scope)
     return df
 
 
 def fill_nulls(
-    df: DataFrame, strategy: dict[str, str] | None = None, cfg: Settings = DEFAULTS
+    df: DataFrame,
+    strategy: dict[str, str] | None = None,
+    cfg: Settings = DEFAULTS,
+    scope: str = "vehicle",
 ) -> DataFrame:
-    return apply_fill(df, fill_plan(df, strategy, cfg))
+    """Fill nulls per column. ``scope`` is the reach of ffill and bfill: a null at the
+    start of a vehicle's records stays null, or with ``"table"`` takes the value that
+    precedes it in ingest order, whichever vehicle that belongs to.
+    """
+    return apply_fill(df, fill_plan(df, strategy, cfg), scope)

@@ -75,9 +75,12 @@ def _daily_sums(df: DataFrame, cfg: Settings) -> DataFrame:
         f"row_number() OVER {chunk} = 1 AS is_first",
         f"lead(1) OVER {chunk} IS NULL AS is_last",
     )
+    recovering = "battery_current < 0"
+    if not cfg.recovery_includes_charging:
+        recovering += " AND charging_status = 0"
     columns = {
         "gross": fixed_sum(GROSS_WATTS),
-        "recovered": fixed_sum(f"CASE WHEN battery_current < 0 THEN abs({SIGNED_WATTS}) END"),
+        "recovered": fixed_sum(f"CASE WHEN {recovering} THEN abs({SIGNED_WATTS}) END"),
         "consumed": fixed_sum(f"CASE WHEN battery_current > 0 THEN {SIGNED_WATTS} END"),
         "distance": fixed_sum("speed"),
         "driven": fixed_sum("CASE WHEN speed > 0 THEN speed END"),

@@ -41,39 +41,58 @@ def with_previous(df: DataFrame, columns: Sequence[str], name: str = "prev") ->
     return joined.withColumn(name, previous).drop("_carry")
 
 
-def fill_along_time(df: DataFrame, forward: Sequence[str], backward: Sequence[str]) -> DataFrame:
-    """Replace nulls by the vehicle's nearest earlier (later) value.
+TABLE_CHUNK_ROWS = 1_000_000
 
-    Leading (trailing) nulls stay. All columns share one window pass.
+
+def fill_along_time(
+    df: DataFrame, forward: Sequence[str], backward: Sequence[str], scope: str = "vehicle"
+) -> DataFrame:
+    """Replace nulls by the nearest earlier (later) value; leading (trailing) ones stay.
+
+    ``scope="vehicle"`` follows each vehicle's time. ``scope="table"`` follows the
+    ingest order of the whole table, across vehicles; it needs a whole-number ``seq``,
+    and cuts the table into ranges of it. All columns share one window pass.
     """
     if not forward and not backward:
         return df
-    order = F.struct("timestamp", "seq")
-    edges = df.groupBy(*CHUNK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_last_{c}") for c in forward],
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_next_{c}") for c in backward],
+    columns = df.columns
+    if scope == "vehicle":
+        chunk, order, days = list(CHUNK), "struct(timestamp, seq)", across_chunks()
+        rows = Window.partitionBy(*CHUNK)
+        up, down = ["timestamp", "seq"], [F.desc("timestamp"), F.desc("seq")]
+    elif scope == "table":
+        chunk, order = ["_range"], "seq"
+        df = df.withColumn("_range", F.floor(F.col("seq") / TABLE_CHUNK_ROWS))
+        # One row per million records: small enough for a single ordered pass.
+        days, rows = Window.orderBy("_range"), Window.partitionBy("_range")
+        up, down = ["seq"], [F.desc("seq")]
+    else:
+        raise ValueError(f"unknown fill scope: {scope}")
+
+    def known(c: str) -> str:
+        return f"CASE WHEN {c} IS NOT NULL THEN {order} END"
+
+    edges = df.groupBy(*chunk).agg(
+        *[F.expr(f"max_by({c}, {known(c)}) AS _last_{c}") for c in forward],
+        *[F.expr(f"min_by({c}, {known(c)}) AS _next_{c}") for c in backward],
     )
-    before = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
-    after = across_chunks().rowsBetween(1, Window.unboundedFollowing)
+    before = days.rowsBetween(Window.unboundedPreceding, -1)
+    after = days.rowsBetween(1, Window.unboundedFollowing)
     edges = edges.select(
-        *CHUNK,
+        *chunk,
         *[F.last(f"_last_{c}", True).over(before).alias(f"_before_{c}") for c in forward],
         *[F.first(f"_next_{c}", True).over(after).alias(f"_after_{c}") for c in backward],
     )
-    up_to = in_chunk().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Backwards as a running frame over the reversed order: a frame that starts at
     # the current row would be scanned anew for every row.
-    down_to = (
-        Window.partitionBy(*CHUNK)
-        .orderBy(F.desc("timestamp"), F.desc("seq"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = df.join(edges, list(CHUNK), "left")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    up_to, down_to = rows.orderBy(*up).rowsBetween(*so_far), rows.orderBy(*down).rowsBetween(*so_far)
+    joined = df.join(edges, chunk, "left")
     filled = {
         **{c: F.coalesce(F.last(c, True).over(up_to), F.col(f"_before_{c}")) for c in forward},
         **{c: F.coalesce(F.last(c, True).over(down_to), F.col(f"_after_{c}")) for c in backward},
     }
-    return joined.withColumns(filled).select(*df.columns)
+    return joined.withColumns(filled).select(*columns)
 
 
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:

@@ -26,13 +26,19 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     cfg: Settings = DEFAULTS,
+    records: int | None = None,
 ) -> dict[str, list[float | None]]:
-    """Column -> quantiles with linear interpolation; nulls are left out."""
+    """Column -> quantiles with linear interpolation; nulls are left out.
+
+    ``records`` is the size of the table where the caller knows it.
+    """
     columns, probabilities = list(columns), list(probabilities)
     if not columns:
         return {}
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if sizes[c] <= cfg.max_distinct_in_memory]
+    small = columns
+    if records is None or records > cfg.max_distinct_in_memory:
+        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+        small = [c for c in columns if sizes[c] <= cfg.max_distinct_in_memory]
     result: dict[str, list[float | None]] = {}
     if small:
         at = F.array(*[F.lit(float(p)) for p in probabilities])

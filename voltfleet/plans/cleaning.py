@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from voltfleet.functions.numbers import half_up, named, number, row, rows, text
 from voltfleet.operators.dedup import deduplicate, duplicate_counts
@@ -105,47 +104,61 @@ def improvement(stages: Stages, cfg: Settings = DEFAULTS) -> DataFrame:
     raw = raw.selectExpr(
         "1 AS part",
         f"{completeness_columns(raw)['completeness']} AS before",
-        f"{outlier_total_columns(raw)['total_physical_outliers']} AS outliers_handled",
+        f"{outlier_total_columns(raw)['total_physical_outliers']} AS outliers",
     )
     final = final.selectExpr(
         "1 AS part",
         f"{completeness_columns(final)['completeness']} AS after",
-        "records AS final_record_count",
-    )
-    copies = duplicate_counts(stages.raw, cfg).selectExpr(
-        "1 AS part", "duplicate_count AS duplicates_removed"
-    )
-    return raw.join(final, "part").join(copies, "part").selectExpr(
-        f"{half_up('after - before', 2)} AS completeness_improved",
-        "duplicates_removed",
-        "outliers_handled",
-        "final_record_count",
+        "records AS final_records",
     )
+    copies = duplicate_counts(stages.raw, cfg).selectExpr("1 AS part", "duplicate_count AS copies")
+    joined = raw.join(final, "part").join(copies, "part")
+    return joined.selectExpr(*named(_gain("before", "after", "copies", "outliers", "final_records")))
+
+
+def _gain(before: str, after: str, copies: str, outliers: str, rows_left: str) -> dict[str, str]:
+    return {
+        "completeness_improved": half_up(f"{after} - {before}", 2),
+        "duplicates_removed": copies,
+        "outliers_handled": outliers,
+        "final_record_count": rows_left,
+    }
+
+
+def stored(stages: Stages) -> Stages:
+    """The same stages with the cleaned table written out, for reports that read it often."""
+    return replace(stages, cleaned=materialise(stages.cleaned, "cleaned"))
 
 
 def cleaning_report(stages: Stages, report_time: str, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Checks before and after, the steps between and the gain, as one nested row."""
+    """Checks before and after, the steps between and the gain, as one nested row.
+
+    The cleaned table is read several times: pass one that is written (``stored``).
+    """
+
     def whole(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.lit(1).alias("part"), F.struct(*df.columns).alias(name))
+        return df.selectExpr("1 AS part", f"struct({', '.join(df.columns)}) AS {name}")
 
     steps = cleaning_counters(stages, cfg)
-    steps = steps.groupBy(F.lit(1).alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct(*steps.columns))).alias("cleaning_steps")
+    listed = f"array_sort(collect_list(struct({', '.join(steps.columns)})))"
+    steps = steps.selectExpr("1 AS part", f"{listed} AS cleaning_steps")
+    gain = _gain(
+        "original_quality.completeness.completeness",
+        "final_quality.completeness.completeness",
+        "original_quality.duplicates.duplicate_count",
+        "original_quality.outliers.total_physical_outliers",
+        "final_quality.original_count",
     )
+    final_count = gain.pop("final_record_count")
     return (
         whole(quality_report(stages.raw, report_time, cfg), "original_quality")
         .join(whole(quality_report(stages.cleaned, report_time, cfg), "final_quality"), "part")
-        .join(whole(improvement(stages, cfg), "improvement"), "part")
         .join(steps, "part")
-        .select(
+        .selectExpr(
             "original_quality",
             "cleaning_steps",
             "final_quality",
-            F.col("improvement.final_record_count").alias("final_record_count"),
-            F.struct(
-                "improvement.completeness_improved",
-                "improvement.duplicates_removed",
-                "improvement.outliers_handled",
-            ).alias("improvement"),
+            f"{final_count} AS final_record_count",
+            f"{row(gain)} AS improvement",
         )
     )

@@ -52,25 +52,24 @@ def integer_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
 
 
-def parse_time(column: str = "timestamp"):
+def parse_time(column: str = "timestamp") -> str:
     """Text to TIMESTAMP_NTZ; what does not parse becomes null."""
-    return F.try_to_timestamp(F.col(column), F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    return f"CAST(try_to_timestamp({column}, '{TIME_FORMAT}') AS TIMESTAMP_NTZ)"
 
 
 def normalise(df: DataFrame) -> DataFrame:
     """One place for ingest rules: parsed time, whole seconds, ``date``, NaN as null."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
     out = []
-    for name in df.columns:
-        if name == "timestamp" and isinstance(kinds[name], T.StringType):
-            out.append(parse_time().alias(name))
-        elif name == "timestamp":
-            out.append(F.date_trunc("second", name).cast("timestamp_ntz").alias(name))
-        elif isinstance(kinds[name], (T.DoubleType, T.FloatType)):
-            out.append(F.when(~F.isnan(name), F.col(name)).alias(name))
+    for f in df.schema.fields:
+        if f.name == "timestamp" and isinstance(f.dataType, T.StringType):
+            out.append(f"{parse_time()} AS timestamp")
+        elif f.name == "timestamp":
+            out.append("CAST(date_trunc('second', timestamp) AS TIMESTAMP_NTZ) AS timestamp")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(f"nullif({f.name}, CAST('NaN' AS {f.dataType.simpleString()})) AS {f.name}")
         else:
-            out.append(F.col(name))
-    return with_date(df.select(*out))
+            out.append(f"`{f.name}`")
+    return with_date(df.selectExpr(*out))
 
 
 def with_date(df: DataFrame) -> DataFrame:

@@ -53,6 +53,7 @@ class Settings:
     rapid_acceleration: float = 5.0  # km/h per second, strictly above
     high_temperature: float = 45.0  # degrees Celsius, strictly above
     soc_cycle_step: float = 20.0  # percent, strictly above
+    recovery_includes_charging: bool = True  # count plug-in charging as recovered, too
     health_per_hot_hour: float = 0.1
     health_per_cycle: float = 0.01
 
