@@ -62,7 +62,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fill(strategy: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         unique = materialise(_unique(spark, sf_dir), "unique")
-        filled = fill.fill_nulls(unique, {"default": strategy})
+        filled = fill.fill_nulls(unique, {"default": strategy}, unique=True)
         return filled.select(*FIELDS, "speed", "battery_voltage", "soc")
 
     return query
@@ -83,7 +83,8 @@ def _derive_power(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _speed_acceleration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return realtime.speed_acceleration(_clean(spark, sf_dir)).select(*FIELDS, "speed_acceleration")
+    out = realtime.speed_acceleration(_clean(spark, sf_dir), unique=True)
+    return out.select(*FIELDS, "speed_acceleration")
 
 
 def _clip_iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +152,7 @@ def _stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = fresh_folder(spark, "checkpoint")
     for _ in feed.play(source, inbox):
         run = jobs.start_realtime(
-            spark, inbox, outbox, checkpoint, fmt="text", per_trigger=None, available_now=True
+            spark, inbox, outbox, checkpoint, fmt="text", available_now=True
         )
         run.awaitTermination()
     sent = messages.decode(spark.read.text(outbox), stateful.window_schema(text_time=True), time="window_end_time")
@@ -243,9 +244,9 @@ def queries() -> dict[str, Query]:
         "dws_union": lambda s, d: metrics.summary_rows(_daily(s, d), RUN_TIME),
         "window_last100": lambda s, d: realtime.window_metrics(_clean(s, d)),
         "latest_per_vehicle": lambda s, d: realtime.latest_metrics(_clean(s, d)),
-        "pairwise_metrics": lambda s, d: realtime.pairwise_metrics(_clean(s, d)),
-        "sliding_5s": lambda s, d: realtime.sliding_windows(_clean(s, d)),
-        "sliding_30s": lambda s, d: realtime.sliding_windows(_clean(s, d), size=30),
+        "pairwise_metrics": lambda s, d: realtime.pairwise_metrics(_clean(s, d), unique=True),
+        "sliding_5s": lambda s, d: realtime.sliding_windows(_clean(s, d), unique=True),
+        "sliding_30s": lambda s, d: realtime.sliding_windows(_clean(s, d), size=30, unique=True),
     }
     checks = {
         "completeness": lambda s, d: quality.completeness(_raw(s, d)),

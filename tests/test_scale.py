@@ -160,7 +160,9 @@ def test_quantiles_by_narrowing_are_exact(spark, seed):
         "a double, b double, c double, d double",
     )
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = quantiles.quantiles_by_narrowing(df, ["a", "b", "c", "d"], probabilities)
+    columns = ["a", "b", "c", "d"]
+    got = quantiles.quantiles_by_narrowing(df, columns, probabilities)
+    assert quantiles.quantiles_by_counting(df, columns, probabilities) == got
     want = {"a": wide, "b": skewed, "c": np.full(3000, 7.0), "d": np.arange(0.0, 3000, 3)}
     for c, values in want.items():
         assert got[c] == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
@@ -172,6 +174,7 @@ def test_quantiles_by_narrowing_are_exact(spark, seed):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert quantiles.exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}
+    assert quantiles.quantiles_by_counting(df, ["a"], [0.5]) == {"a": [None]}
     assert quantiles.quantiles_by_narrowing(df, ["a"], [0.5]) == {"a": [None]}
 
 

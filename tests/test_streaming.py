@@ -117,7 +117,7 @@ def test_topic_to_topic(spark, drive):
     inbox, outbox, checkpoint = (fresh_folder(spark, n) for n in ("in", "topic", "ckpt"))
     messages.send_batch(drive.drop("date"), inbox, fmt="text")
     run = jobs.start_realtime(
-        spark, inbox, outbox, checkpoint, fmt="text", per_trigger=None, available_now=True
+        spark, inbox, outbox, checkpoint, fmt="text", available_now=True
     )
     run.awaitTermination()
     sent = messages.decode(

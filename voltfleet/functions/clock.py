@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def second_of_day(at: str) -> str:
-    return f"(hour({at}) * 3600 + minute({at}) * 60 + second({at}))"
 
+def epoch_seconds(at: str) -> str:
+    """Whole seconds since 1970 by the wall clock of the stamp.
 
-def seconds_between(earlier: str, later: str) -> str:
-    """Whole seconds; ``timestampdiff`` would read wall-clock stamps in the session zone."""
-    days = f"CAST(datediff(to_date({later}), to_date({earlier})) AS BIGINT)"
-    return f"({days} * 86400 + {second_of_day(later)} - {second_of_day(earlier)})"
+    ``unix_timestamp`` would read wall-clock stamps in the session zone.
+    """
+    clock = f"hour({at}) * 3600 + minute({at}) * 60 + second({at})"
+    return f"(CAST(datediff(to_date({at}), DATE '1970-01-01') AS BIGINT) * 86400 + {clock})"
+
+
+def with_seconds(df: DataFrame) -> DataFrame:
+    """Add ``at``: the time stamp as a number, taken once and then only subtracted."""
+    return df.withColumn("at", F.expr(epoch_seconds("timestamp")))

@@ -62,7 +62,9 @@ def fill_plan(
     ]
 
 
-def apply_fill(df: DataFrame, plan: list[dict], scope: str = "vehicle") -> DataFrame:
+def apply_fill(
+    df: DataFrame, plan: list[dict], scope: str = "vehicle", unique: bool = False
+) -> DataFrame:
     constants = {p["column"]: p["value"] for p in plan if p["value"] is not None}
     kinds = dict(df.dtypes)
     df = df.withColumns(
@@ -71,7 +73,7 @@ def apply_fill(df: DataFrame, plan: list[dict], scope: str = "vehicle") -> DataF
     forward = [p["column"] for p in plan if p["strategy"] == "ffill"]
     backward = [p["column"] for p in plan if p["strategy"] == "bfill"]
     if forward or backward:
-        df = fill_along_time(with_date(df), forward, backward, scope)
+        df = fill_along_time(with_date(df), forward, backward, scope, unique)
     return df
 
 
@@ -80,9 +82,11 @@ def fill_nulls(
     strategy: dict[str, str] | None = None,
     cfg: Settings = DEFAULTS,
     scope: str = "vehicle",
+    unique: bool = False,
 ) -> DataFrame:
     """Fill nulls per column. ``scope`` is the reach of ffill and bfill: a null at the
     start of a vehicle's records stays null, or with ``"table"`` takes the value that
     precedes it in ingest order, whichever vehicle that belongs to.
+    ``unique`` tells that the records are deduplicated.
     """
-    return apply_fill(df, fill_plan(df, strategy, cfg), scope)
+    return apply_fill(df, fill_plan(df, strategy, cfg), scope, unique)

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltfleet.functions.clock import with_seconds
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
 from voltfleet.functions.numbers import (
     FIXED_SCALE,
@@ -52,12 +53,12 @@ METRIC_COLUMNS: dict[str, list[str]] = {
     "battery_health_index": ["battery_health_index", "high_temp_duration_hours", "soc_cycles"],
 }
 
-_CHANGING = ("timestamp", "speed", "charging_status", "soc")
+_CHANGING = ("at", "speed", "charging_status", "soc")
 
 
 def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
     """What happened between two consecutive records, given their column prefixes."""
-    rate = acceleration(f"{now}speed", f"{before}speed", f"{now}timestamp", f"{before}timestamp")
+    rate = acceleration(f"{now}speed", f"{before}speed", f"{now}at", f"{before}at")
     return {
         "rapid": f"{rate} > {cfg.rapid_acceleration!r}D",
         "charging_start": f"{now}charging_status - {before}charging_status = 1",
@@ -68,7 +69,7 @@ def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
 def _daily_sums(df: DataFrame, cfg: Settings) -> DataFrame:
     """One row per vehicle and day: exact sums, and the day's first and last record."""
     chunk = "(PARTITION BY vehicle_id, date ORDER BY timestamp, seq)"
-    lagged = df.selectExpr(
+    lagged = with_seconds(df).selectExpr(
         *["vehicle_id", "date", "battery_voltage", "battery_current", "battery_temperature"],
         *_CHANGING,
         *named({f"prev_{c}": f"lag({c}) OVER {chunk}" for c in _CHANGING}),

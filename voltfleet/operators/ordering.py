@@ -26,38 +26,60 @@ def across_chunks() -> WindowSpec:
     return Window.partitionBy("vehicle_id").orderBy("date")
 
 
-def with_previous(df: DataFrame, columns: Sequence[str], name: str = "prev") -> DataFrame:
+def order_key(unique: bool) -> str:
+    """What orders one vehicle's records, for ``max_by`` and ``min_by``.
+
+    Where the time alone tells them apart (``unique``: deduplicated records) the key
+    is one number, and Spark aggregates by hash; with ``seq`` as a tie-break it is a
+    struct, for which it has to sort.
+    """
+    if unique:
+        return "coalesce(timestamp, TIMESTAMP_NTZ '0001-01-01 00:00:00')"
+    return "struct(timestamp, seq)"
+
+
+def with_previous(
+    df: DataFrame, columns: Sequence[str], name: str = "prev", unique: bool = False
+) -> DataFrame:
     """Add a struct of ``columns`` taken from the vehicle's previous record, or null."""
-    row = F.struct(*columns)
+    order = order_key(unique)
     last_rows = (
         df.groupBy(*CHUNK)
-        .agg(F.max_by(row, F.struct("timestamp", "seq")).alias("_last"))
+        .agg(*[F.expr(f"max_by({c}, {order}) AS {c}") for c in columns])
+        .select(*CHUNK, F.struct(*columns).alias("_last"))
         .withColumn("_carry", F.lag("_last").over(across_chunks()))
         .select(*CHUNK, "_carry")
     )
     joined = df.join(last_rows, list(CHUNK), "left")
     first = F.row_number().over(in_chunk()) == 1
-    previous = F.when(first, F.col("_carry")).otherwise(F.lag(row).over(in_chunk()))
-    return joined.withColumn(name, previous).drop("_carry")
+    previous = F.lag(F.struct(*columns)).over(in_chunk())
+    return joined.withColumn(
+        name, F.when(first, F.col("_carry")).otherwise(previous)
+    ).drop("_carry")
 
 
 TABLE_CHUNK_ROWS = 1_000_000
 
 
 def fill_along_time(
-    df: DataFrame, forward: Sequence[str], backward: Sequence[str], scope: str = "vehicle"
+    df: DataFrame,
+    forward: Sequence[str],
+    backward: Sequence[str],
+    scope: str = "vehicle",
+    unique: bool = False,
 ) -> DataFrame:
     """Replace nulls by the nearest earlier (later) value; leading (trailing) ones stay.
 
     ``scope="vehicle"`` follows each vehicle's time. ``scope="table"`` follows the
     ingest order of the whole table, across vehicles; it needs a whole-number ``seq``,
-    and cuts the table into ranges of it. All columns share one window pass.
+    and cuts the table into ranges of it. ``unique``: see ``order_key``. All columns
+    share one window pass.
     """
     if not forward and not backward:
         return df
     columns = df.columns
     if scope == "vehicle":
-        chunk, order, days = list(CHUNK), "struct(timestamp, seq)", across_chunks()
+        chunk, order, days = list(CHUNK), order_key(unique), across_chunks()
         rows = Window.partitionBy(*CHUNK)
         up, down = ["timestamp", "seq"], [F.desc("timestamp"), F.desc("seq")]
     elif scope == "table":

@@ -1,11 +1,13 @@
 """Exact quantiles of whole columns.
 
-``percentile`` keeps a map of all distinct values of a column in one task. That
-is right while a column has few of them, which is checked first. Columns beyond
-the limit are narrowed instead: count the values in equal-width buckets, keep the
-bucket that holds the wanted rank, and repeat inside it until it holds one value.
-Each round is one narrow scan with a bounded number of groups, and the result is
-the same exact value.
+``percentile`` sends a map of all values of a column to one task. Here the values
+are counted instead: distinct (column, value) pairs are aggregated before and after
+an ordinary shuffle, and only a running count over the distinct values of a column
+is made in one place. That is right while a column has few of them, which is
+checked first. Columns beyond the limit are narrowed: count the values in
+equal-width buckets, keep the bucket that holds the wanted rank, and repeat inside
+it until it holds one value. Each round is one narrow scan with a bounded number of
+groups, and the result is the same exact value.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltfleet.functions.numbers import named, number, rows
 from voltfleet.settings import DEFAULTS, Settings
 
-BUCKETS = 4096
+BUCKETS = 1024
 
 
 def exact_quantiles(
@@ -37,25 +40,52 @@ def exact_quantiles(
         return {}
     small = columns
     if records is None or records > cfg.max_distinct_in_memory:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+        sizes = df.selectExpr(*named({c: f"approx_count_distinct({c})" for c in columns})).first()
         small = [c for c in columns if sizes[c] <= cfg.max_distinct_in_memory]
-    result: dict[str, list[float | None]] = {}
-    if small:
-        at = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(*[F.percentile(c, at).alias(c) for c in small]).first()
-        result = {c: row[c] or [None] * len(probabilities) for c in small}
+    result = quantiles_by_counting(df, small, probabilities) if small else {}
     large = [c for c in columns if c not in small]
     if large:
         result.update(quantiles_by_narrowing(df, large, probabilities))
     return {c: result[c] for c in columns}
 
 
+def quantiles_by_counting(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> dict[str, list[float | None]]:
+    pairs = [f"named_struct('target', {i}, 'value', CAST({c} AS DOUBLE))" for i, c in enumerate(columns)]
+    counts = (
+        df.selectExpr(rows(pairs))
+        .filter("value IS NOT NULL")
+        .groupBy("target", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    ranked = counts.selectExpr(
+        "target",
+        "value",
+        "sum(n) OVER (PARTITION BY target ORDER BY value) AS upto",
+        "sum(n) OVER (PARTITION BY target) - 1 AS last",
+    )
+    wanted = {}
+    for k, p in enumerate(probabilities):
+        place = f"(last * {number(p)})"
+        low = f"min(CASE WHEN upto > floor({place}) THEN value END)"
+        high = f"min(CASE WHEN upto > ceil({place}) THEN value END)"
+        place = f"(max(last) * {number(p)})"
+        wanted[f"q{k}"] = (
+            f"CASE WHEN floor({place}) = ceil({place}) THEN {low}"
+            f" ELSE (ceil({place}) - {place}) * {low} + ({place} - floor({place})) * {high} END"
+        )
+    found = ranked.groupBy("target").agg(*[F.expr(e) for e in named(wanted)]).collect()
+    by_target = {r["target"]: [r[f"q{k}"] for k in range(len(probabilities))] for r in found}
+    return {c: by_target.get(i, [None] * len(probabilities)) for i, c in enumerate(columns)}
+
+
 def quantiles_by_narrowing(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    extent = df.agg(
-        *[f(F.col(c)).alias(f"{k}_{c}") for c in columns for k, f in
-          (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    edges = {"n": "count", "lo": "min", "hi": "max"}
+    extent = df.selectExpr(
+        *named({f"{k}_{c}": f"{f}({c})" for c in columns for k, f in edges.items()})
     ).first()
     wanted: dict[tuple[str, int], tuple[float, float, int]] = {}
     for c in columns:
@@ -93,16 +123,11 @@ def _narrow(df: DataFrame, wanted: dict) -> dict:
     row per target, however large the table.
     """
     targets = [
-        F.struct(
-            F.lit(i).alias("target"),
-            F.col(column).cast("double").alias("value"),
-            F.lit(lo).alias("lo"),
-            F.lit(hi).alias("hi"),
-            F.lit(rank).cast("bigint").alias("rank"),
-        )
+        f"named_struct('target', {i}, 'value', CAST({column} AS DOUBLE),"
+        f" 'lo', {number(lo)}, 'hi', {number(hi)}, 'rank', {rank}L)"
         for i, ((column, _), (lo, hi, rank)) in enumerate(wanted.items())
     ]
-    inside = df.select(F.inline(F.array(*targets))).filter("value >= lo AND value <= hi")
+    inside = df.selectExpr(rows(targets)).filter("value >= lo AND value <= hi")
     # Halved first, so that the width of a very wide range cannot overflow.
     share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
     counts = inside.groupBy(

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltfleet.functions.clock import seconds_between
+from voltfleet.functions.clock import with_seconds
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
-from voltfleet.functions.numbers import FIXED_SCALE, fixed, half_up, named
-from voltfleet.operators.ordering import in_blocks, with_position, with_previous
+from voltfleet.functions.numbers import FIXED_SCALE, fixed, half_up, named, row
+from voltfleet.operators.ordering import in_blocks, order_key, with_position, with_previous
 from voltfleet.schema import with_date
 from voltfleet.settings import DEFAULTS, Settings
 
 # What a window metric needs of a record.
 _RECORD = (
+    "at",
     "timestamp",
     "seq",
     "speed",
@@ -25,6 +26,7 @@ _RECORD = (
 )
 _STATE = ("battery_temperature", "motor_temperature", "battery_voltage", "battery_current")
 _ROW = f"struct({', '.join(_RECORD)})"
+_EDGE = ("at", "soc", *_STATE)
 
 
 def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
@@ -35,8 +37,7 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
     ``gross_sum`` covers every record but the first one. Rates are null unless
     ``several`` holds.
     """
-    elapsed = seconds_between("first.timestamp", "last.timestamp")
-    duration = f"coalesce(CAST(nullif({elapsed}, 0) AS DOUBLE), 1D)"
+    duration = "coalesce(CAST(nullif(last.at - first.at, 0) AS DOUBLE), 1D)"
 
     def per_second(c: str, factor: str = "1D") -> str:
         value = half_up(f"(last.{c} - first.{c}) / {duration} * {factor}", 4)
@@ -63,17 +64,25 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
 def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Per record, from each vehicle's second one on: metrics of its last 100 records.
 
-    Histories are cut into bounded blocks (``in_blocks``). Sums are differences of
-    running sums, so a record costs the same however long the window is; only max
-    and min look at the whole frame.
+    Histories are cut into bounded blocks (``in_blocks``). A record costs the same
+    however long the window is: sums are differences of running sums, and with stretches
+    as long as the window, its max is the larger one of the max so far in the stretch of
+    its last record and the max from its first record on to the end of that stretch.
     """
     n = cfg.window_records
-    known = with_date(df).filter("vehicle_id IS NOT NULL")
+    known = with_seconds(with_date(df)).filter("vehicle_id IS NOT NULL")
     placed = with_position(known.select("vehicle_id", "date", *_RECORD))
     blocks = in_blocks(placed, reach=n - 1, block_rows=cfg.block_rows)
-    w = "PARTITION BY vehicle_id, _block ORDER BY position"
-    upto = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    frame = f"OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    stretch = "PARTITION BY vehicle_id, _block, stretch ORDER BY position"
+    rest, begun = f"OVER ({stretch} DESC {so_far})", f"OVER ({stretch} {so_far})"
+    blocks = blocks.selectExpr("*", f"floor(position / {n}) AS stretch")
+    # One shuffle by block serves the windows over stretches, too.
+    blocks = blocks.repartition("vehicle_id", "_block")
+    blocks = blocks.selectExpr("*", f"max(speed) {rest} AS rest_max", f"min(speed) {rest} AS rest_min")
+    # ``stretch`` only repeats what ``position`` says, so that one sort serves both.
+    w = "PARTITION BY vehicle_id, _block ORDER BY stretch, position"
+    upto = f"OVER ({w} {so_far})"
     # The very first record of a vehicle opens no interval and carries no energy.
     gross = f"CASE WHEN position > 0 THEN {fixed(GROSS_WATTS)} END"
     running = {
@@ -82,17 +91,22 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
         "speeds": f"coalesce(sum({fixed('speed')}) {upto}, 0L)",
         "speed_n": f"count(speed) {upto}",
         "grosses": f"coalesce(sum({gross}) {upto}, 0L)",
-        "speed_max": f"max(speed) {frame}",
-        "speed_min": f"min(speed) {frame}",
+        "begun_max": f"max(speed) {begun}",
+        "begun_min": f"min(speed) {begun}",
+        "speed_max": f"lag(rest_max, {n - 1}) OVER ({w})",
+        "speed_min": f"lag(rest_min, {n - 1}) OVER ({w})",
     }
     sums = {
+        "speed_max": "greatest(begun_max, speed_max)",
+        "speed_min": "least(begun_min, speed_min)",
         "records": f"least(position + 1, {n}L)",
         "speed_sum": f"speeds - coalesce(lag(speeds, {n}) OVER ({w}), 0L)",
         "speed_count": f"speed_n - coalesce(lag(speed_n, {n}) OVER ({w}), 0L)",
         "gross_sum": f"grosses - coalesce(lag(grosses, {n - 1}) OVER ({w}), 0L)",
     }
-    frames = blocks.selectExpr("vehicle_id", "position", "_block", "_own", *named(running))
-    frames = frames.selectExpr("*", *named(sums)).filter("_own AND position > 0")
+    frames = blocks.selectExpr("vehicle_id", "position", "stretch", "_block", "_own", *named(running))
+    kept = ["vehicle_id", "position", "_own", "first", "last"]
+    frames = frames.selectExpr(*kept, *named(sums)).filter("_own AND position > 0")
     return frames.selectExpr(
         "last.timestamp AS window_end_time",
         "vehicle_id",
@@ -121,7 +135,8 @@ def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """
     newest = Window.partitionBy("vehicle_id").orderBy(F.desc("timestamp"), F.desc("seq"))
     tail = (
-        df.filter("vehicle_id IS NOT NULL")
+        with_seconds(df)
+        .filter("vehicle_id IS NOT NULL")
         .select("vehicle_id", *_RECORD)
         .withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") <= cfg.window_records)
@@ -137,13 +152,12 @@ def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-PAIR_FIELDS = ("timestamp", "battery_temperature", "motor_temperature", "soc")
+PAIR_FIELDS = ("at", "battery_temperature", "motor_temperature", "soc")
 
 
 def pairwise_columns(cfg: Settings = DEFAULTS) -> dict[str, str]:
     """Metrics of a record against its predecessor ``prev``; rates are null without one."""
-    elapsed = seconds_between("prev.timestamp", "timestamp")
-    elapsed = f"CAST(coalesce({elapsed}, {cfg.interval_seconds}) AS DOUBLE)"
+    elapsed = f"CAST(coalesce(at - prev.at, {cfg.interval_seconds}) AS DOUBLE)"
 
     def per_second(c: str, factor: str = "1D") -> str:
         change = half_up(f"try_divide({c} - prev.{c}, {elapsed}) * {factor}", 4)
@@ -164,33 +178,88 @@ def pairwise_columns(cfg: Settings = DEFAULTS) -> dict[str, str]:
     }
 
 
-def pairwise_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    df = with_date(df).select("vehicle_id", "date", *_RECORD)
-    return with_previous(df, PAIR_FIELDS).selectExpr(*named(pairwise_columns(cfg)))
+def pairwise_metrics(
+    df: DataFrame, cfg: Settings = DEFAULTS, unique: bool = False
+) -> DataFrame:
+    """Per record: power, and rates against the vehicle's previous record.
+
+    ``unique`` tells that the records are deduplicated, here and below.
+    """
+    df = with_seconds(with_date(df)).select("vehicle_id", "date", *_RECORD)
+    return with_previous(df, PAIR_FIELDS, unique=unique).selectExpr(*named(pairwise_columns(cfg)))
 
 
-def speed_acceleration(df: DataFrame) -> DataFrame:
+def speed_acceleration(df: DataFrame, unique: bool = False) -> DataFrame:
     """Add the change of speed since the vehicle's previous record, in km/h per second."""
-    change = acceleration("speed", "prev.speed", "timestamp", "prev.timestamp")
-    known = with_previous(with_date(df), ["timestamp", "speed"])
-    return known.withColumn("speed_acceleration", F.expr(change)).drop("prev")
+    change = acceleration("speed", "prev.speed", "at", "prev.at")
+    known = with_previous(with_seconds(with_date(df)), ["at", "speed"], unique=unique)
+    return known.withColumn("speed_acceleration", F.expr(change)).drop("prev", "at")
+
 
+def _window_sums(order: str) -> list:
+    """Edge records and sums of a group of records."""
+    edges = {f"_{k}_{c}": f"{k}_by({c}, {order})" for c in _EDGE for k in ("min", "max")}
+    return [F.expr(e) for e in named({**edges, **_SUMS})]
 
-def sliding_windows(df: DataFrame, cfg: Settings = DEFAULTS, size: int | None = None) -> DataFrame:
+
+def _window_output(grouped: DataFrame, start: str, end: str, cfg: Settings) -> DataFrame:
+    first, last = (row({c: f"_{k}_{c}" for c in _EDGE}) for k in ("min", "max"))
+    return (
+        grouped.selectExpr("*", f"{first} AS first", f"{last} AS last")
+        .selectExpr("*", _GROSS_SUM)
+        .selectExpr(
+            f"{start} AS window_start",
+            f"{end} AS window_end_time",
+            "vehicle_id",
+            *named(window_columns(cfg, several="records > 1")),
+        )
+    )
+
+
+def sliding_windows(
+    df: DataFrame, cfg: Settings = DEFAULTS, size: int | None = None, unique: bool = False
+) -> DataFrame:
     """Metrics per vehicle and event-time window; works on streams with a watermark.
 
     A window with a single record reports it with rates of null.
     """
     size = cfg.window_size_seconds if size is None else size
-    window = F.window("timestamp", f"{size} seconds", f"{cfg.window_slide_seconds} seconds")
-    order = "struct(timestamp, seq)"
-    edges = {"first": f"min_by({_ROW}, {order})", "last": f"max_by({_ROW}, {order})"}
-    grouped = df.groupBy(window.alias("w"), "vehicle_id").agg(
-        *[F.expr(e) for e in named({**edges, **_SUMS})]
+    slide = cfg.window_slide_seconds
+    df = with_seconds(df)
+    if unique and not df.isStreaming:
+        return _tiled_windows(df, cfg, size, slide)
+    window = F.window("timestamp", f"{size} seconds", f"{slide} seconds")
+    grouped = df.groupBy(window.alias("w"), "vehicle_id").agg(*_window_sums(order_key(unique)))
+    start, end = (f"CAST(w.{k} AS TIMESTAMP_NTZ)" for k in ("start", "end"))
+    return _window_output(grouped, start, end, cfg)
+
+
+def _tiled_windows(df: DataFrame, cfg: Settings, size: int, slide: int) -> DataFrame:
+    """The windows of stored, deduplicated records.
+
+    A record belongs to size / slide windows, and hardly any two records of a vehicle
+    share all of theirs: shuffled per window, every record would travel that often.
+    Here records travel once, to the stretch of time (tile) their windows start in,
+    or twice if those lie on both sides of a border. One vehicle has at most one
+    record per second, so a tile is small.
+    """
+    tile = cfg.tile_seconds
+    moved = df.filter("at IS NOT NULL").select("vehicle_id", *_RECORD)
+    # Window starts are multiples of the slide in (at - size, at].
+    last_start = f"(at - at % {slide}L)"
+    first_start = f"((at - {size}L) - (at - {size}L) % {slide}L + {slide}L)"
+    moved = moved.selectExpr("*", f"{first_start} AS lo", f"{last_start} AS hi")
+    moved = moved.filter("lo <= hi").selectExpr(
+        "*", f"explode(sequence(lo div {tile}L, hi div {tile}L)) AS tile"
     )
-    return grouped.selectExpr("*", _GROSS_SUM).selectExpr(
-        "CAST(w.start AS TIMESTAMP_NTZ) AS window_start",
-        "CAST(w.end AS TIMESTAMP_NTZ) AS window_end_time",
-        "vehicle_id",
-        *named(window_columns(cfg, several="records > 1")),
+    local = moved.repartition("vehicle_id", "tile").selectExpr(
+        *["vehicle_id", "tile", *_RECORD],
+        f"explode(sequence(lo, hi, {slide}L)) AS start",
+    )
+    grouped = (
+        local.filter(f"start div {tile}L = tile")
+        .groupBy("vehicle_id", "tile", "start")
+        .agg(*_window_sums(order_key(True)))
     )
+    zero = "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
+    return _window_output(grouped, zero.format("start"), zero.format(f"start + {size}"), cfg)

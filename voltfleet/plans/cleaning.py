@@ -51,7 +51,7 @@ def clean_stages(
             # Read several times below (nulls, medians, day edges): shuffled once.
             unique = materialise(unique, "deduplicated")
         plan = fill_plan(unique, cfg=cfg)
-    filled = apply_fill(unique, plan)
+    filled = apply_fill(unique, plan, unique=remove_duplicates)
     cleaned = handle_outliers(filled, method, action, cfg) if outliers else filled
     return Stages(raw, unique, filled, cleaned, plan)
 

@@ -58,14 +58,14 @@ def read_topic(
     """A stream with a text column ``value``.
 
     ``fmt="kafka"`` needs the Kafka package on the cluster; ``fmt="text"`` watches a
-    folder of JSON lines. ``per_trigger`` bounds one micro-batch (offsets or files).
+    folder of JSON lines. ``per_trigger`` bounds one micro-batch: records of a topic,
+    files of a folder.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
-        if per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         reader = (
             reader.option("subscribe", topic_or_path)
+            .option("maxOffsetsPerTrigger", per_trigger or cfg.records_per_trigger)
             .option("startingOffsets", cfg.starting_offsets)
             .option("groupIdPrefix", cfg.consumer_group)
         )
