@@ -196,17 +196,23 @@ def speed_acceleration(df: DataFrame, unique: bool = False) -> DataFrame:
     return known.withColumn("speed_acceleration", F.expr(change)).drop("prev", "at")
 
 
-def _window_sums(order: str) -> list:
+def _window_sums(unique: bool) -> list:
     """Edge records and sums of a group of records."""
-    edges = {f"_{k}_{c}": f"{k}_by({c}, {order})" for c in _EDGE for k in ("min", "max")}
+    order = order_key(unique)
+    if unique:  # one number per field, so that Spark can aggregate by hash
+        edges = {f"_{k}_{c}": f"{k}_by({c}, {order})" for c in _EDGE for k in ("min", "max")}
+    else:
+        edge = f"struct({', '.join(_EDGE)})"
+        edges = {"first": f"min_by({edge}, {order})", "last": f"max_by({edge}, {order})"}
     return [F.expr(e) for e in named({**edges, **_SUMS})]
 
 
 def _window_output(grouped: DataFrame, start: str, end: str, cfg: Settings) -> DataFrame:
-    first, last = (row({c: f"_{k}_{c}" for c in _EDGE}) for k in ("min", "max"))
+    if "first" not in grouped.columns:
+        first, last = (row({c: f"_{k}_{c}" for c in _EDGE}) for k in ("min", "max"))
+        grouped = grouped.selectExpr("*", f"{first} AS first", f"{last} AS last")
     return (
-        grouped.selectExpr("*", f"{first} AS first", f"{last} AS last")
-        .selectExpr("*", _GROSS_SUM)
+        grouped.selectExpr("*", _GROSS_SUM)
         .selectExpr(
             f"{start} AS window_start",
             f"{end} AS window_end_time",
@@ -229,7 +235,7 @@ def sliding_windows(
     if unique and not df.isStreaming:
         return _tiled_windows(df, cfg, size, slide)
     window = F.window("timestamp", f"{size} seconds", f"{slide} seconds")
-    grouped = df.groupBy(window.alias("w"), "vehicle_id").agg(*_window_sums(order_key(unique)))
+    grouped = df.groupBy(window.alias("w"), "vehicle_id").agg(*_window_sums(unique))
     start, end = (f"CAST(w.{k} AS TIMESTAMP_NTZ)" for k in ("start", "end"))
     return _window_output(grouped, start, end, cfg)
 
@@ -259,7 +265,7 @@ def _tiled_windows(df: DataFrame, cfg: Settings, size: int, slide: int) -> DataF
     grouped = (
         local.filter(f"start div {tile}L = tile")
         .groupBy("vehicle_id", "tile", "start")
-        .agg(*_window_sums(order_key(True)))
+        .agg(*_window_sums(unique=True))
     )
     zero = "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
     return _window_output(grouped, zero.format("start"), zero.format(f"start + {size}"), cfg)
