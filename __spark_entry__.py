@@ -20,7 +20,6 @@ from voltfleet.functions import derive  # noqa: E402
 from voltfleet.operators import dedup, fill, metrics, outliers, quality, realtime, reports  # noqa: E402
 from voltfleet.plans import cleaning, warehouse  # noqa: E402
 from voltfleet.schema import normalise  # noqa: E402
-from voltfleet.settings import DEFAULTS  # noqa: E402
 from voltfleet.sources import feed, files, messages, sample  # noqa: E402
 from voltfleet.sources.workspace import fresh_folder, materialise  # noqa: E402
 from voltfleet.streaming import jobs, stateful, windows  # noqa: E402

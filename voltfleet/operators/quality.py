@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from voltfleet.functions.numbers import half_up, named, number, rate, row, rows, text
 from voltfleet.operators.dedup import duplicate_counts, duplicate_examples
