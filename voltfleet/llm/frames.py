@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,6 +30,7 @@ def per_batch(
             if batch.num_rows and (out := step(batch)) is not None:
                 yield out
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
