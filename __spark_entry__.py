@@ -24,6 +24,14 @@ from voltfleet.sources import feed, files, messages, sample  # noqa: E402
 from voltfleet.sources.workspace import fresh_folder, materialise  # noqa: E402
 from voltfleet.streaming import jobs, stateful, windows  # noqa: E402
 
+try:  # the text operators and the pipeline may be left out of an installation
+    import corpus_pipeline
+    from voltfleet.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "voltfleet.llm")):
+        raise
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TIME = "2024-02-01 00:00:00"
 FIELDS = ["seq", "timestamp", "vehicle_id"]
@@ -308,8 +316,16 @@ def queries() -> dict[str, Query]:
         "latest_report": _latest_report,
         "warehouse_layers": _warehouse_layers,
     }
-    return {**batch, **checks, **figures, **streams, **sinks}
+    text = {}
+    if text_queries:
+        text = {**text_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    return {**batch, **checks, **figures, **streams, **sinks, **text}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles()
+    found = oracles()
+    if text_queries:
+        found = {**found, **text_queries.ORACLES}
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
