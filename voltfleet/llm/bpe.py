@@ -36,7 +36,7 @@ from ..sources.workspace import materialise
 from . import words
 from .frames import per_batch, table
 
-TABLE, LONG, SLOTS = 300_000, 128, 1 << 18
+TABLE, LONG, SLOTS = 500_000, 128, 1 << 18
 NEVER = 2**31 - 1
 _LETTER, _NUMBER, _SPACE, _REST = 1, 2, 3, 4
 
@@ -322,7 +322,7 @@ def encode_batch(column: pa.Array, ranks: Ranks, known: Table, cache: dict[bytes
                 ids = cache.get(word)
                 if ids is None:
                     ids = ranks.merge(word)
-                    if len(cache) < 200_000 and len(word) <= LONG:
+                    if len(cache) < 50_000 and len(word) <= LONG:
                         cache[word] = ids
                 own_begin[n], own_size[n] = len(known.ids) + len(extra), len(ids)
                 extra += ids

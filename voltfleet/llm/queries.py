@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from . import rules, substrings
 from .bpe import op3_byte_bpe
 from .fmindex import op6_decontamination
+from .language import op10_language
 from .near import op8_near_join
 from .pii import op1_pii
+from .quality import op5_quality
+from .rules import op9_rules
+from .secrets import op7_secrets
+from .substrings import op4_substrings
 from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_substrings": op4_substrings,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_secrets": op7_secrets,
     "op8_near_join": op8_near_join,
+    "op9_rules": op9_rules,
+    "op10_language": op10_language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_substrings": substrings.ORACLE, "op9_rules": rules.ORACLE}
