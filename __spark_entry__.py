@@ -195,8 +195,8 @@ def _newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries in a landing folder; the later one holds no null speed."""
     folder = fresh_folder(spark, "landing")
     raw = sample.telemetry(spark, sf_dir)
-    files.write_csv(raw.filter("speed IS NULL"), f"{folder}/first")
-    files.write_csv(raw.filter("speed IS NOT NULL"), f"{folder}/second")
+    files.write_csv(raw.filter("speed IS NULL").repartition(4), f"{folder}/first")
+    files.write_csv(raw.filter("speed IS NOT NULL").repartition(4), f"{folder}/second")
     return files.read_newest(spark, folder, with_seq=True)
 
 
@@ -227,6 +227,9 @@ def queries() -> dict[str, Query]:
         "derive_power": _derive_power,
         "speed_acceleration": _speed_acceleration,
         "dedup": _unique,
+        "written_times": lambda s, d: normalise(sample.written(s, d)),
+        "written_dedup": lambda s, d: dedup.deduplicate(normalise(sample.written(s, d))),
+        "written_duplicates": lambda s, d: dedup.duplicate_counts(normalise(sample.written(s, d))),
         "ffill": _fill("ffill"),
         "bfill": _fill("bfill"),
         "fill_median": _fill("median"),

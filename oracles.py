@@ -114,6 +114,8 @@ FROM_ON = f"OVER ({VEHICLE} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
 
 CTES = {
     "telemetry": TELEMETRY,
+    "written": """SELECT * REPLACE (CASE WHEN seq % 97 <> 0 THEN
+        "timestamp" + to_microseconds(100000 * (seq % 7)) END AS "timestamp") FROM telemetry""",
     "uniq": """SELECT * FROM telemetry
         QUALIFY row_number() OVER (PARTITION BY vehicle_id, "timestamp" ORDER BY seq) = 1""",
     "filled": f"""SELECT * REPLACE (
@@ -160,6 +162,7 @@ CTES = {
 }
 DEPENDS = {
     "telemetry": [],
+    "written": ["telemetry"],
     "uniq": ["telemetry"],
     "filled": ["uniq"],
     "cleaned": ["filled"],
@@ -523,6 +526,19 @@ def oracles() -> dict[str, str]:
         "derive_power": q("uniq", f"SELECT {KEY3}, {POWER}, {FLAGS} FROM uniq"),
         "speed_acceleration": q("changes", f"SELECT {KEY3}, accel AS speed_acceleration FROM changes"),
         "dedup": q("uniq", f"SELECT {ALL}, {DATED} FROM uniq"),
+        "written_times": q("written", f"SELECT {ALL}, {DATED} FROM written"),
+        "written_dedup": q(
+            "written",
+            f"""SELECT {ALL}, {DATED} FROM written QUALIFY "timestamp" IS NULL
+            OR row_number() OVER (PARTITION BY vehicle_id, "timestamp" ORDER BY seq) = 1""",
+        ),
+        "written_duplicates": q(
+            "written",
+            f"""SELECT CAST(sum(n) AS BIGINT) AS total_records,
+            CAST(sum(CASE WHEN "timestamp" IS NULL THEN 0 ELSE n - 1 END) AS BIGINT) AS duplicate_count,
+            {r(pct('CAST(sum(CASE WHEN "timestamp" IS NULL THEN 0 ELSE n - 1 END) AS DOUBLE)', "sum(n)"), 2)} AS duplicate_rate FROM k""",
+            k='SELECT vehicle_id, "timestamp", count(*) AS n FROM written GROUP BY ALL',
+        ),
         "ffill": fill("ffill"),
         "bfill": fill("bfill"),
         "fill_median": fill("median"),

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from voltfleet.operators import dedup, metrics, quantiles, realtime
+from voltfleet.operators import dedup, metrics, quality, quantiles, realtime
 from voltfleet.operators.ordering import in_blocks, with_position, with_previous
 from voltfleet.plans.cleaning import clean
 from voltfleet.settings import DEFAULTS
@@ -151,7 +151,7 @@ def test_sliding_window_of_single_records(records):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_quantiles_by_narrowing_are_exact(spark, seed):
+def test_quantiles_are_exact(spark, seed):
     rng = np.random.default_rng(seed)
     wide = rng.normal(size=3000) * 10.0 ** rng.integers(-6, 12, size=3000)
     skewed = np.where(rng.random(3000) < 0.4, 5.0, rng.random(3000))
@@ -160,22 +160,30 @@ def test_quantiles_by_narrowing_are_exact(spark, seed):
         "a double, b double, c double, d double",
     )
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    columns = ["a", "b", "c", "d"]
-    got = quantiles.quantiles_by_narrowing(df, columns, probabilities)
-    assert quantiles.quantiles_by_counting(df, columns, probabilities) == got
+    got = quantiles.exact_quantiles(df, ["a", "b", "c", "d"], probabilities)
     want = {"a": wide, "b": skewed, "c": np.full(3000, 7.0), "d": np.arange(0.0, 3000, 3)}
     for c, values in want.items():
         assert got[c] == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
-    small = replace(DEFAULTS, max_distinct_in_memory=10)
-    mixed = quantiles.exact_quantiles(df, ["a", "c"], [0.5], small)
-    assert mixed["a"] == got["a"][2:3] and mixed["c"] == [7.0]
 
 
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert quantiles.exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}
-    assert quantiles.quantiles_by_counting(df, ["a"], [0.5]) == {"a": [None]}
-    assert quantiles.quantiles_by_narrowing(df, ["a"], [0.5]) == {"a": [None]}
+
+
+def test_quantiles_with_infinity(spark, records):
+    df = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("inf"),)], "a double")
+    assert quantiles.exact_quantiles(df, ["a"], [0.5, 1.0]) == {"a": [4.5, float("inf")]}
+    rows = records(*[{"speed": float("inf") if i > 3 else 50.0} for i in range(8)])
+    assert quality.iqr_outliers(rows, ["speed"], only_found=False).count() == 1
+
+
+@pytest.mark.parametrize("block_rows", [16, 64, 100, 8192])
+def test_window_does_not_depend_on_blocks(spark, records, block_rows):
+    rows = records(*[{"at": 5 * i, "speed": float((i * 37) % 91), "soc": float(i % 77)} for i in range(350)])
+    want = sorted(realtime.window_metrics(rows).collect(), key=lambda r: r["seq"])
+    got = realtime.window_metrics(rows, replace(DEFAULTS, block_rows=block_rows)).collect()
+    assert sorted(got, key=lambda r: r["seq"]) == want
 
 
 def test_one_vehicle_with_a_third_of_all_rows(spark, records):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltfleet.functions.clock import seconds_between
 from voltfleet.settings import DEFAULTS, Settings
 
 # Limits and names of the states. What compares to null takes ELSE.
@@ -35,8 +36,8 @@ def add_status(df: DataFrame) -> DataFrame:
 
 
 def acceleration(speed: str, prev_speed: str, at: str, prev_at: str) -> str:
-    """km/h per second, times in seconds; the millisecond keeps equal ones from dividing by 0."""
-    return f"(({speed} - {prev_speed}) / ({at} - {prev_at} + 0.001D))"
+    """km/h per second, times in microseconds; the millisecond keeps equal ones from dividing by 0."""
+    return f"(({speed} - {prev_speed}) / ({seconds_between(at, prev_at)} + 0.001D))"
 
 
 def add_power(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

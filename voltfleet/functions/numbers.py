@@ -7,6 +7,8 @@ over whole thousandths: exact, and the same after a retry or on another cluster.
 
 from __future__ import annotations
 
+import math
+
 FIXED_SCALE = "1000D"
 
 
@@ -85,7 +87,10 @@ def text(value: str) -> str:
 
 def number(value: float | int | None) -> str:
     """A DOUBLE literal with every digit of the value."""
-    return "CAST(NULL AS DOUBLE)" if value is None else f"{float(value)!r}D"
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
 
 
 def rows(items: list[str]) -> str:

@@ -17,6 +17,7 @@ def deduplicate(df: DataFrame, key: tuple[str, ...] = DEFAULTS.dedup_key) -> Dat
     (WindowGroupLimit in the plan), so a key with very many copies costs its
     reducer one row per map task. ``date`` follows from the time stamp; having it
     in the partitioning leaves the rows sorted for the (vehicle, date) steps after.
+    Records whose time cannot be read are no copies of each other: all of them stay.
     A table without all key columns is returned as it is.
     """
     if any(c not in df.columns for c in key):
@@ -25,6 +26,8 @@ def deduplicate(df: DataFrame, key: tuple[str, ...] = DEFAULTS.dedup_key) -> Dat
     if "timestamp" in key and "vehicle_id" in key:
         df = with_date(df)
         by = ["vehicle_id", "date", *[c for c in key if c != "vehicle_id"]]
+    if "timestamp" in key:
+        by.append(F.when(F.col("timestamp").isNull(), F.col("seq")))
     first = F.row_number().over(Window.partitionBy(*by).orderBy("seq"))
     return df.withColumn("_copy", first).filter("_copy = 1").drop("_copy")
 
@@ -36,8 +39,11 @@ def duplicate_counts(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
             "count(*) AS total_records", "0L AS duplicate_count", "0D AS duplicate_rate"
         )
     per_key = df.groupBy(*cfg.dedup_key).agg(F.count("*").alias("n"))
+    surplus = "n - 1"
+    if "timestamp" in cfg.dedup_key:  # unread times make no copies
+        surplus = "CASE WHEN timestamp IS NULL THEN 0 ELSE n - 1 END"
     return per_key.selectExpr(
-        "coalesce(sum(n), 0L) AS total_records", "coalesce(sum(n - 1), 0L) AS duplicate_count"
+        "coalesce(sum(n), 0L) AS total_records", f"coalesce(sum({surplus}), 0L) AS duplicate_count"
     ).selectExpr("*", f"{rate('duplicate_count', 'total_records')} AS duplicate_rate")
 
 
@@ -49,6 +55,8 @@ def duplicate_examples(df: DataFrame, n: int = 5, cfg: Settings = DEFAULTS) -> D
     map side keeps no more than those.
     """
     keep = max(n, 2)
+    if "timestamp" in cfg.dedup_key:
+        df = df.filter("timestamp IS NOT NULL")
     key = Window.partitionBy(*cfg.dedup_key)
     ranked = df.withColumn("_rank", F.row_number().over(key.orderBy("seq"))).filter(
         F.col("_rank") <= keep

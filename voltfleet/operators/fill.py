@@ -38,7 +38,7 @@ def fill_plan(
     flag never becomes a fraction.
     """
     strategy = dict(cfg.fill_strategy if strategy is None else strategy)
-    records, counts = null_counts(df)
+    _, counts = null_counts(df)
     nulls = {c: n for c, n in counts.items() if n > 0}
     how = {c: strategy.get(c, strategy.get("default", "median")) for c in nulls}
     unknown = {m for m in how.values() if m not in METHOD_NAMES}
@@ -48,7 +48,7 @@ def fill_plan(
     how = {c: m for c, m in how.items() if m in ("ffill", "bfill") or c in numeric}
 
     median_of = [c for c, m in how.items() if m == "median"]
-    medians = exact_quantiles(df, median_of, [0.5], cfg, records)
+    medians = exact_quantiles(df, median_of, [0.5])
     values = {c: v[0] for c, v in medians.items()}
     mean_of = [c for c, m in how.items() if m == "mean"]
     if mean_of:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltfleet.functions.clock import with_seconds
+from voltfleet.functions.clock import with_micros
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
 from voltfleet.functions.numbers import (
     FIXED_SCALE,
@@ -69,7 +69,7 @@ def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
 def _daily_sums(df: DataFrame, cfg: Settings) -> DataFrame:
     """One row per vehicle and day: exact sums, and the day's first and last record."""
     chunk = "(PARTITION BY vehicle_id, date ORDER BY timestamp, seq)"
-    lagged = with_seconds(df).selectExpr(
+    lagged = with_micros(df).selectExpr(
         *["vehicle_id", "date", "battery_voltage", "battery_current", "battery_temperature"],
         *_CHANGING,
         *named({f"prev_{c}": f"lag({c}) OVER {chunk}" for c in _CHANGING}),

@@ -1,10 +1,10 @@
 """Rows of one vehicle in time order, without one task per vehicle.
 
 A window over ``vehicle_id`` alone puts the whole history of a vehicle in one
-task. Here the history is cut into (vehicle, date) chunks. Records are unique per
-(vehicle, second) once deduplicated, so a chunk has at most 86,400 rows, however
-much of the fleet's data one vehicle holds. What a chunk needs from earlier ones
-travels in a table of one row per chunk.
+task. Here the history is cut into (vehicle, date) chunks: a chunk holds what one
+vehicle sends in a day (864,000 rows at ten records a second), however much of the
+fleet's data that vehicle holds. What a chunk needs from earlier ones travels in a
+table of one row per chunk.
 """
 
 from __future__ import annotations
@@ -142,11 +142,11 @@ def in_blocks(df: DataFrame, reach: int, block_rows: int, position: str = "posit
 
     A block holds ``block_rows`` consecutive records, plus a copy of the ``reach``
     records before them (``_own`` is false there): frames that look back at most
-    ``reach`` rows are complete for every own record, and no block is larger.
+    ``reach`` rows are complete for every own record, and no block is larger. With
+    blocks shorter than the reach a record is copied to several.
     """
     block = F.floor(F.col(position) / block_rows)
-    near_end = F.col(position) % block_rows >= block_rows - reach
-    homes = F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))
+    homes = F.sequence(block, F.floor((F.col(position) + reach) / block_rows))
     return (
         df.withColumn("_block", F.explode(homes)).withColumn("_own", F.col("_block") == block)
     )

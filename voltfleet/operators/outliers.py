@@ -21,7 +21,7 @@ def physical_bounds(df: DataFrame, cfg: Settings = DEFAULTS) -> Bounds:
 def iqr_bounds(
     df: DataFrame, columns: list[str], factor: float = DEFAULTS.iqr_factor, cfg: Settings = DEFAULTS
 ) -> Bounds:
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], cfg)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
     return {
         c: (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
         for c, (q1, q3) in quartiles.items()

@@ -1,4 +1,7 @@
-"""Quality checks. Each reads the table once and answers in one or a few rows."""
+"""Quality checks, each answered in one or a few rows.
+
+Counts read the table once; quartiles and the values outside their fences twice.
+"""
 
 from __future__ import annotations
 
@@ -108,7 +111,7 @@ def iqr_outliers(
     """Per numeric column: quartiles, fences, values outside the fences."""
     factor = cfg.iqr_factor if factor is None else factor
     columns = columns or [c for c in numeric_columns(df) if c in FIELDS]
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], cfg)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
     fences: Bounds = {
         c: (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
         for c, (q1, q3) in quartiles.items()

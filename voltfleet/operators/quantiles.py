@@ -1,57 +1,29 @@
-"""Exact quantiles of whole columns.
+"""Exact quantiles of whole columns, one path for every size.
 
-``percentile`` sends a map of all values of a column to one task. Here the values
-are counted instead: distinct (column, value) pairs are aggregated before and after
-an ordinary shuffle, and only a running count over the distinct values of a column
-is made in one place. That is right while a column has few of them, which is
-checked first. Columns beyond the limit are narrowed: count the values in
-equal-width buckets, keep the bucket that holds the wanted rank, and repeat inside
-it until it holds one value. Each round is one narrow scan with a bounded number of
-groups, and the result is the same exact value.
+``percentile`` sends a map of all values of a column to one task. Here (column, value)
+pairs are counted by an ordinary shuffle, the counts are dealt out in order of column and
+value over many partitions, and running counts are made inside each partition. One total
+per column and partition joins them up; the values at the wanted ranks are then picked out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltfleet.functions.numbers import named, number, rows
-from voltfleet.settings import DEFAULTS, Settings
-
-BUCKETS = 1024
+from voltfleet.sources.workspace import materialise
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    cfg: Settings = DEFAULTS,
-    records: int | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Column -> quantiles with linear interpolation; nulls are left out.
-
-    ``records`` is the size of the table where the caller knows it.
-    """
+    """Column -> quantiles with linear interpolation; nulls are left out."""
     columns, probabilities = list(columns), list(probabilities)
     if not columns:
         return {}
-    small = columns
-    if records is None or records > cfg.max_distinct_in_memory:
-        sizes = df.selectExpr(*named({c: f"approx_count_distinct({c})" for c in columns})).first()
-        small = [c for c in columns if sizes[c] <= cfg.max_distinct_in_memory]
-    result = quantiles_by_counting(df, small, probabilities) if small else {}
-    large = [c for c in columns if c not in small]
-    if large:
-        result.update(quantiles_by_narrowing(df, large, probabilities))
-    return {c: result[c] for c in columns}
-
-
-def quantiles_by_counting(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[float | None]]:
     pairs = [f"named_struct('target', {i}, 'value', CAST({c} AS DOUBLE))" for i, c in enumerate(columns)]
     counts = (
         df.selectExpr(rows(pairs))
@@ -59,11 +31,21 @@ def quantiles_by_counting(
         .groupBy("target", "value")
         .agg(F.count("*").alias("n"))
     )
-    ranked = counts.selectExpr(
+    # Written, since the borders of the ranges are sampled anew when it is computed anew.
+    placed = materialise(
+        counts.repartitionByRange("target", "value").withColumn("part", F.spark_partition_id()), "ranks"
+    )
+    own = placed.groupBy("target", "part").agg(F.sum("n").alias("own"))
+    totals = own.selectExpr(
         "target",
-        "value",
-        "sum(n) OVER (PARTITION BY target ORDER BY value) AS upto",
-        "sum(n) OVER (PARTITION BY target) - 1 AS last",
+        "part",
+        "sum(own) OVER (PARTITION BY target ORDER BY part) - own AS before",
+        "sum(own) OVER (PARTITION BY target) - 1 AS last",
+    )
+    here = Window.partitionBy("target", "part").orderBy("value")
+    ranked = (
+        placed.join(F.broadcast(totals), ["target", "part"])  # a row per column and partition
+        .withColumn("upto", F.col("before") + F.sum("n").over(here))
     )
     wanted = {}
     for k, p in enumerate(probabilities):
@@ -78,66 +60,3 @@ def quantiles_by_counting(
     found = ranked.groupBy("target").agg(*[F.expr(e) for e in named(wanted)]).collect()
     by_target = {r["target"]: [r[f"q{k}"] for k in range(len(probabilities))] for r in found}
     return {c: by_target.get(i, [None] * len(probabilities)) for i, c in enumerate(columns)}
-
-
-def quantiles_by_narrowing(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[float | None]]:
-    edges = {"n": "count", "lo": "min", "hi": "max"}
-    extent = df.selectExpr(
-        *named({f"{k}_{c}": f"{f}({c})" for c in columns for k, f in edges.items()})
-    ).first()
-    wanted: dict[tuple[str, int], tuple[float, float, int]] = {}
-    for c in columns:
-        n = extent[f"n_{c}"]
-        for p in probabilities if n else ():
-            position = p * (n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                wanted[c, rank] = (float(extent[f"lo_{c}"]), float(extent[f"hi_{c}"]), rank)
-    value: dict[tuple[str, int], float] = {}
-    while wanted:
-        for target, (lo, hi, _) in wanted.items():
-            if lo == hi:
-                value[target] = lo
-        wanted = {t: w for t, w in wanted.items() if t not in value}
-        if wanted:
-            wanted = _narrow(df, wanted)
-    result = {}
-    for c in columns:
-        n = extent[f"n_{c}"]
-        result[c] = [_between(value, c, p * (n - 1)) if n else None for p in probabilities]
-    return result
-
-
-def _between(value: dict[tuple[str, int], float], column: str, position: float) -> float:
-    lower, upper = math.floor(position), math.ceil(position)
-    if lower == upper:
-        return value[column, lower]
-    return (upper - position) * value[column, lower] + (position - lower) * value[column, upper]
-
-
-def _narrow(df: DataFrame, wanted: dict) -> dict:
-    """One round: for each target, the bucket of its rank and what lies below it.
-
-    A target is a column, a range and a rank inside the range. The result is one
-    row per target, however large the table.
-    """
-    targets = [
-        f"named_struct('target', {i}, 'value', CAST({column} AS DOUBLE),"
-        f" 'lo', {number(lo)}, 'hi', {number(hi)}, 'rank', {rank}L)"
-        for i, ((column, _), (lo, hi, rank)) in enumerate(wanted.items())
-    ]
-    inside = df.selectExpr(rows(targets)).filter("value >= lo AND value <= hi")
-    # Halved first, so that the width of a very wide range cannot overflow.
-    share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-    counts = inside.groupBy(
-        "target", "rank", F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
-    ).agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    upto = F.sum("n").over(Window.partitionBy("target").orderBy("bucket"))
-    hit = (
-        counts.withColumn("upto", upto)
-        .filter("upto > rank AND upto - n <= rank")
-        .select("target", "lo", "hi", F.expr("rank - (upto - n)").alias("rank"))
-    )
-    keys = list(wanted)
-    return {keys[r["target"]]: (r["lo"], r["hi"], r["rank"]) for r in hit.collect()}

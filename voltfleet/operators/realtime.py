@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltfleet.functions.clock import with_seconds
+from voltfleet.functions.clock import MICROS, seconds_between, with_micros
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
 from voltfleet.functions.numbers import FIXED_SCALE, fixed, half_up, named, row
 from voltfleet.operators.ordering import in_blocks, order_key, with_position, with_previous
@@ -37,7 +37,7 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
     ``gross_sum`` covers every record but the first one. Rates are null unless
     ``several`` holds.
     """
-    duration = "coalesce(CAST(nullif(last.at - first.at, 0) AS DOUBLE), 1D)"
+    duration = f"coalesce(nullif({seconds_between('last.at', 'first.at')}, 0D), 1D)"
 
     def per_second(c: str, factor: str = "1D") -> str:
         value = half_up(f"(last.{c} - first.{c}) / {duration} * {factor}", 4)
@@ -70,7 +70,7 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     its last record and the max from its first record on to the end of that stretch.
     """
     n = cfg.window_records
-    known = with_seconds(with_date(df)).filter("vehicle_id IS NOT NULL")
+    known = with_micros(with_date(df)).filter("vehicle_id IS NOT NULL")
     placed = with_position(known.select("vehicle_id", "date", *_RECORD))
     blocks = in_blocks(placed, reach=n - 1, block_rows=cfg.block_rows)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -135,7 +135,7 @@ def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """
     newest = Window.partitionBy("vehicle_id").orderBy(F.desc("timestamp"), F.desc("seq"))
     tail = (
-        with_seconds(df)
+        with_micros(df)
         .filter("vehicle_id IS NOT NULL")
         .select("vehicle_id", *_RECORD)
         .withColumn("_rank", F.row_number().over(newest))
@@ -157,7 +157,7 @@ PAIR_FIELDS = ("at", "battery_temperature", "motor_temperature", "soc")
 
 def pairwise_columns(cfg: Settings = DEFAULTS) -> dict[str, str]:
     """Metrics of a record against its predecessor ``prev``; rates are null without one."""
-    elapsed = f"CAST(coalesce(at - prev.at, {cfg.interval_seconds}) AS DOUBLE)"
+    elapsed = f"coalesce({seconds_between('at', 'prev.at')}, {cfg.interval_seconds}D)"
 
     def per_second(c: str, factor: str = "1D") -> str:
         change = half_up(f"try_divide({c} - prev.{c}, {elapsed}) * {factor}", 4)
@@ -185,14 +185,14 @@ def pairwise_metrics(
 
     ``unique`` tells that the records are deduplicated, here and below.
     """
-    df = with_seconds(with_date(df)).select("vehicle_id", "date", *_RECORD)
+    df = with_micros(with_date(df)).select("vehicle_id", "date", *_RECORD)
     return with_previous(df, PAIR_FIELDS, unique=unique).selectExpr(*named(pairwise_columns(cfg)))
 
 
 def speed_acceleration(df: DataFrame, unique: bool = False) -> DataFrame:
     """Add the change of speed since the vehicle's previous record, in km/h per second."""
     change = acceleration("speed", "prev.speed", "at", "prev.at")
-    known = with_previous(with_seconds(with_date(df)), ["at", "speed"], unique=unique)
+    known = with_previous(with_micros(with_date(df)), ["at", "speed"], unique=unique)
     return known.withColumn("speed_acceleration", F.expr(change)).drop("prev", "at")
 
 
@@ -231,7 +231,7 @@ def sliding_windows(
     """
     size = cfg.window_size_seconds if size is None else size
     slide = cfg.window_slide_seconds
-    df = with_seconds(df)
+    df = with_micros(df)
     if unique and not df.isStreaming:
         return _tiled_windows(df, cfg, size, slide)
     window = F.window("timestamp", f"{size} seconds", f"{slide} seconds")
@@ -246,10 +246,11 @@ def _tiled_windows(df: DataFrame, cfg: Settings, size: int, slide: int) -> DataF
     A record belongs to size / slide windows, and hardly any two records of a vehicle
     share all of theirs: shuffled per window, every record would travel that often.
     Here records travel once, to the stretch of time (tile) their windows start in,
-    or twice if those lie on both sides of a border. One vehicle has at most one
-    record per second, so a tile is small.
+    or twice if those lie on both sides of a border. A tile holds ten minutes of one
+    vehicle's records.
     """
-    tile = cfg.tile_seconds
+    tile, zero = cfg.tile_seconds * MICROS, "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
+    size, slide, seconds = size * MICROS, slide * MICROS, size
     moved = df.filter("at IS NOT NULL").select("vehicle_id", *_RECORD)
     # Window starts are multiples of the slide in (at - size, at].
     last_start = f"(at - at % {slide}L)"
@@ -267,5 +268,5 @@ def _tiled_windows(df: DataFrame, cfg: Settings, size: int, slide: int) -> DataF
         .groupBy("vehicle_id", "tile", "start")
         .agg(*_window_sums(unique=True))
     )
-    zero = "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {})"
-    return _window_output(grouped, zero.format("start"), zero.format(f"start + {size}"), cfg)
+    begin = f"start div {MICROS}L"
+    return _window_output(grouped, zero.format(begin), zero.format(f"{begin} + {seconds}"), cfg)

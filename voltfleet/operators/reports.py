@@ -44,7 +44,7 @@ def _spread(column: str) -> dict[str, str]:
 def summary_statistics(wide: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Per metric and column: mean, std, min, max, median over all vehicle days."""
     columns = value_columns(wide)
-    medians = exact_quantiles(wide, columns, [0.5], cfg)
+    medians = exact_quantiles(wide, columns, [0.5])
     figures = wide.selectExpr(
         *named(
             {
@@ -152,7 +152,7 @@ def overview(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Per numeric column: count, mean, std, min, quartiles, max."""
     columns = [c for c in numeric_columns(df) if c in FIELDS]
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], cfg)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     found = [
         row(
             {

@@ -53,18 +53,21 @@ def integer_columns(df: DataFrame) -> set[str]:
 
 
 def parse_time(column: str = "timestamp") -> str:
-    """Text to TIMESTAMP_NTZ; what does not parse becomes null."""
-    return f"CAST(try_to_timestamp({column}, '{TIME_FORMAT}') AS TIMESTAMP_NTZ)"
+    """Text to TIMESTAMP_NTZ: ``TIME_FORMAT`` and ISO forms, with or without a fraction.
+
+    What does not parse becomes null; such records stay, and are no copies of each other.
+    """
+    return f"try_cast({column} AS TIMESTAMP_NTZ)"
 
 
 def normalise(df: DataFrame) -> DataFrame:
-    """One place for ingest rules: parsed time, whole seconds, ``date``, NaN as null."""
+    """One place for ingest rules: parsed time, ``date``, NaN as null."""
     out = []
     for f in df.schema.fields:
         if f.name == "timestamp" and isinstance(f.dataType, T.StringType):
             out.append(f"{parse_time()} AS timestamp")
         elif f.name == "timestamp":
-            out.append("CAST(date_trunc('second', timestamp) AS TIMESTAMP_NTZ) AS timestamp")
+            out.append("CAST(timestamp AS TIMESTAMP_NTZ) AS timestamp")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(f"nullif({f.name}, CAST('NaN' AS {f.dataType.simpleString()})) AS {f.name}")
         else:

@@ -72,7 +72,6 @@ class Settings:
     # Scale knobs; none of them changes a result.
     block_rows: int = 8192  # rows of one vehicle handled together by row frames
     tile_seconds: int = 600  # time of one vehicle handled together by event-time windows
-    max_distinct_in_memory: int = 100_000  # beyond it, quantiles are narrowed on disk
 
     @property
     def interval_hours(self) -> float:

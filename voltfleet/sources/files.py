@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltfleet.operators.metrics import METRIC_COLUMNS
-from voltfleet.schema import RAW_SCHEMA, RAW_SCHEMA_WITH_SEQ, TIME_FORMAT, normalise
+from voltfleet.schema import RAW_SCHEMA, RAW_SCHEMA_WITH_SEQ, normalise
 
 
 def read_csv(spark: SparkSession, path: str | list[str], with_seq: bool = False) -> DataFrame:
@@ -66,9 +68,20 @@ def newest_path(spark: SparkSession, folder: str, pattern: str = "*.csv", by: st
 
 
 def read_newest(spark: SparkSession, folder: str, with_seq: bool = False) -> DataFrame | None:
-    """Records of the newest CSV file of a landing folder, or None if there is none."""
+    """Records of the newest delivery of a landing folder, or None if there is none.
+
+    A delivery is a CSV file in the folder, or a folder below it with all its parts.
+    """
     path = newest_path(spark, folder)
-    return None if path is None else read_csv(spark, path, with_seq)
+    if path is None:
+        return None
+    parent = path.rsplit("/", 1)[0]
+    return read_csv(spark, path if _bare(parent) == _bare(folder) else parent, with_seq)
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme, where that has no host, and without a last slash."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:/+", "/", path).rstrip("/")
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -76,7 +89,7 @@ def _flat(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out.append(F.date_format(f.name, TIME_FORMAT).alias(f.name))
+            out.append(F.col(f.name).cast("string").alias(f.name))
         elif not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
             out.append(F.col(f.name))
     return df.select(*out)

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltfleet.schema import RAW_SCHEMA_WITH_SEQ, TIME_FORMAT
+from voltfleet.schema import RAW_SCHEMA_WITH_SEQ
 from voltfleet.settings import DEFAULTS, Settings
 
 
 def encode(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     """Rows as messages: ``key`` and the whole row as JSON in ``value``."""
-    value = F.to_json(F.struct("*"), {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT})
-    return df.select(F.col(key).alias("key"), value.alias("value"))
+    # As text, a stamp has a fraction only where it needs one.
+    times = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    fields = [F.col(c).cast("string").alias(c) if c in times else F.col(f"`{c}`") for c in df.columns]
+    return df.select(F.col(key).alias("key"), F.to_json(F.struct(*fields)).alias("value"))
 
 
 def envelope(messages: DataFrame, topic: str, sent_at_ms: int) -> DataFrame:
@@ -41,7 +43,7 @@ def decode(
         F.col("value").cast("string"), fields, {"columnNameOfCorruptRecord": "malformed"}
     )
     rows = messages.select(parsed.alias("r")).select("r.*")
-    rows = rows.withColumn(time, F.try_to_timestamp(time, F.lit(TIME_FORMAT)))
+    rows = rows.withColumn(time, F.col(time).try_cast("timestamp"))
     if keep_malformed:
         return rows
     return rows.filter("malformed IS NULL AND vehicle_id IS NOT NULL").drop("malformed")

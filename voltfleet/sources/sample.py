@@ -39,5 +39,13 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TELEMETRY, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records whose times are text: with fractions, in ISO form, or unreadable."""
+    rows = telemetry(spark, sf_dir)
+    at = "CAST(`timestamp` + make_dt_interval(0, 0, 0, CAST(seq % 7 AS DECIMAL(18, 6)) / 10) AS STRING)"
+    form = f"CASE WHEN seq % 97 = 0 THEN 'n/a' WHEN seq % 3 = 1 THEN replace({at}, ' ', 'T') ELSE {at} END"
+    return rows.selectExpr(*[f"{form} AS `timestamp`" if c == "timestamp" else c for c in rows.columns])
+
+
 def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date(telemetry(spark, sf_dir))

@@ -143,8 +143,8 @@ def _step_window(cfg: Settings, insert: bool):
         rows, late = _arrivals(batches, history, late, insert)
         index = np.arange(len(rows))
         first = np.maximum(index - size + 1, 0)
-        seconds = (rows["at"].to_numpy() - rows["at"].to_numpy()[first]) // 1_000_000
-        duration = np.where(seconds == 0, 1.0, seconds.astype("float64"))
+        seconds = (rows["at"].to_numpy() - rows["at"].to_numpy()[first]) / 1_000_000
+        duration = np.where(seconds == 0, 1.0, seconds)
 
         def since(totals: np.ndarray, start: np.ndarray) -> np.ndarray:
             """Sum of the positions after ``start`` up to each row's own."""
