@@ -203,25 +203,27 @@ def _fold(word: Column, ranks: Ranks) -> Column:
     # t: ids so far; r: ranks of neighbours, set by the first step.
     begin = F.struct(ids.alias("t"), F.lit(None).cast("array<int>").alias("r"))
 
-    def first(s: Column) -> Column:
-        t = s["t"]
-        keys = F.transform(F.slice(t, 1, F.size(t) - 1), lambda a, i: key(a, F.element_at(t, i + 2)))
-        return F.struct(t.alias("t"), ranked(keys).alias("r"))
-
-    def join(s: Column) -> Column:
-        t, r, low = s["t"], s["r"], F.array_min(s["r"])
-        p, n = F.array_position(r, low).cast("int"), F.size(t)
+    def step(s: Column, i: Column) -> Column:
+        t, r, low, n = s["t"], s["r"], F.array_min(s["r"]), F.size(s["t"])
+        done = F.coalesce(low, F.lit(NEVER)) == NEVER
+        p = F.array_position(r, low).cast("int")
         left = F.when(p > 1, key(F.element_at(t, F.greatest(p - 1, F.lit(1))), low)).otherwise(-1)
         right = F.when(p + 2 <= n, key(low, F.element_at(t, F.least(p + 2, n)))).otherwise(-1)
-        fresh = ranked(F.filter(F.array(left, right), lambda k: k >= 0))
-        return F.struct(
-            F.concat(F.slice(t, 1, p - 1), F.array(low), F.slice(t, p + 2, n)).alias("t"),
-            F.concat(F.slice(r, 1, F.greatest(p - 2, F.lit(0))), fresh, F.slice(r, p + 2, n)).alias("r"),
+        keys = (
+            F.when(i == 0, F.transform(F.slice(t, 1, n - 1), lambda a, j: key(a, F.element_at(t, j + 2))))
+            .when(done, F.array().cast("array<bigint>"))
+            .otherwise(F.filter(F.array(left, right), lambda k: k >= 0))
         )
 
-    def step(s: Column, i: Column) -> Column:
-        done = F.coalesce(F.array_min(s["r"]), F.lit(NEVER)) == NEVER
-        return F.when(i == 0, first(s)).when(done, s).otherwise(join(s))
+        def after(fresh: Column) -> Column:
+            joined = F.struct(
+                F.concat(F.slice(t, 1, p - 1), F.array(low), F.slice(t, p + 2, n)).alias("t"),
+                F.concat(F.slice(r, 1, F.greatest(p - 2, F.lit(0))), fresh, F.slice(r, p + 2, n)).alias("r"),
+            )
+            return F.when(i == 0, F.struct(t.alias("t"), fresh.alias("r"))).when(done, s).otherwise(joined)
+
+        # Ranks are looked up in one place, so that the plan holds the literal once.
+        return F.element_at(F.transform(F.array(ranked(keys)), after), 1)
 
     return F.aggregate(F.sequence(F.lit(0), size - 1), begin, step, lambda s: s["t"])
 

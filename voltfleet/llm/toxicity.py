@@ -18,7 +18,6 @@ characters of each, from four places of the text. Scoring reads whole texts.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,13 +28,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
 from .frames import fold, labelled_sample, per_batch, table, texts
 
 WINDOW, STRIDE, LEVEL = 64, 48, 4
 COMMON_BYTES, TOXIC_BYTES, FUNCTION_WORDS = 1 << 16, 1 << 13, 60
 PER_CLASS, TRAIN_CHARS, MIN_GAIN = 2500, 20_000, 20.0
 THRESHOLD = 0.7
-_WORD = re.compile(rb"[^\s\x21-\x40\x5b-\x60\x7b-\x7f]+")
 
 
 def _windows(text: str) -> list[bytes]:
@@ -78,11 +77,26 @@ def _bounded(text: str) -> str:
 
 def _surroundings(group: list[str]) -> tuple[Counter, int]:
     """How many different neighbourhoods each word stands in, so copies do not count twice."""
-    seen = set()
-    for text in group:
-        words = _WORD.findall(text.lower().encode("utf-8", "replace"))
-        seen.update(zip([b"", *words], words, [*words[1:], b""], strict=False))
-    return Counter(b" " + w for _, w, _ in seen), len(seen)
+    names: dict[int, bytes] = {}
+    triples, total = [], 0
+    for found in words.scan(pa.array([t.lower() for t in group], pa.string()), blank=False):
+        h, zero = found.hash, np.zeros(1, np.uint64)
+        same = found.doc[1:] == found.doc[:-1]
+        before = np.concatenate([zero, np.where(same, h[:-1], 0)])
+        after = np.concatenate([np.where(same, h[1:], 0), zero])
+        if len(h):
+            context = words.mix(words.mix(words.mix(before) + h) + after)
+            triples.append(np.unique(np.stack([h, context]), axis=1))
+            own, first = np.unique(h, return_index=True)
+            raw = found.data.tobytes()
+            for x, k in zip(own.tolist(), first.tolist(), strict=True):
+                if x not in names:
+                    names[x] = b" " + raw[found.start[k] : found.end[k]]
+    if not triples:
+        return Counter(), 0
+    whole = np.unique(np.concatenate(triples, axis=1), axis=1)
+    own, count = np.unique(whole[0], return_counts=True)
+    return Counter({names[x]: c for x, c in zip(own.tolist(), count.tolist(), strict=True)}), whole.shape[1]
 
 
 def _standing_out(toxic: list[str], ordinary: list[str]) -> bytes:
