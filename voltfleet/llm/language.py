@@ -11,8 +11,8 @@ training row has a language. Repeated rows get equal results; other columns are
 
 Training is bounded: ``PER_LANGUAGE`` rows of each language (those with the smallest hash of
 doc_id), ``TRAIN_CHARS`` characters of each, ``MOST_WORDS`` words and as many n-grams of each
-length. Rows of one language are cut down on the map side, before the shuffle. Prediction
-reads whole texts.
+length. Only ids are ranked for it, in two steps, so a usual language is no single task's
+work. Prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import words
 from .frames import fold, per_batch, table, texts
 
-PER_LANGUAGE, TRAIN_CHARS, MOST_WORDS, LONGEST = 1500, 5000, 50_000, 4
+PER_LANGUAGE, TRAIN_CHARS, MOST_WORDS, LONGEST, PARTS = 1500, 5000, 50_000, 4, 256
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -98,13 +98,16 @@ def train(sample: list[tuple[str, str]]) -> Model | None:
 
 def train_on(docs: DataFrame) -> Model | None:
     """Model from a bounded sample of the rows outside the held-out fold."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    known = docs.filter((fold(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    ids = known.select("doc_id", "lang").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):  # a usual language is cut down in parts first
+        first = Window.partitionBy(*by).orderBy(*order)
+        ids = ids.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= PER_LANGUAGE).drop("n")
     rows = (
-        docs.filter((fold(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select("doc_id", F.col("lang").cast("string").alias("lang"), F.substring("text", 1, TRAIN_CHARS).alias("text"))
-        .withColumn("n", F.row_number().over(first))
-        .filter(F.col("n") <= PER_LANGUAGE)
-        .select("text", "lang")
+        known.join(F.broadcast(ids.drop("part").distinct()), ["doc_id", "lang"])  # PER_LANGUAGE ids a language
+        .select(F.substring("text", 1, TRAIN_CHARS).alias("text"), "lang")
         .collect()
     )
     return train([(r["text"], r["lang"]) for r in rows])
