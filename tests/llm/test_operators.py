@@ -12,10 +12,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from voltfleet.llm import bpe, fmindex, language, near, pii, quality, rules, secrets, substrings, toxicity, words  # noqa: E402
+from voltfleet.llm import bpe, fmindex, frames, language, near, pii, quality, rules, secrets, substrings, toxicity, words  # noqa: E402
 from voltfleet.llm.components import components  # noqa: E402
 
 random.seed(4)
@@ -197,7 +198,7 @@ def test_quality(docs, labels, rows):
 def test_language(spark):
     sample = [("the cat sat on the mat and the dog", "en"), ("der hund und die katze sind im haus", "de")] * 20
     docs = spark.createDataFrame(
-        [(1, "the dog and the cat"), (2, "und der hund"), (3, None), (4, "12 34 !"), (5, "katzen hundehaus"), (6, "the " * 40_000)],
+        [(1, "the dog and the cat"), (2, "und der hund"), (3, None), (4, "12 34 ! ½²"), (5, "katzen hundehaus"), (6, "the " * 40_000)],
         "doc_id long, text string",
     )
     found = {r["doc_id"]: r for r in language.predict(docs, language.train(sample)).collect()}
@@ -370,6 +371,16 @@ def test_keep_one(docs, rows):
     classes = {c for _, _, c in classes_by_hand([r for r in rows if (r[1] or "").split()])}
     bare = sum(not (r[1] or "").split() for r in rows)
     assert kept.count() == len(classes) + bare
+    clashing = near.keep_one(docs.withColumnsRenamed({"score": "row", "n_chars": "n", "spans": "_key"}))
+    assert clashing.columns[4:6] == ["n", "row"] and clashing.count() == kept.count()
+
+
+def test_samples_are_bounded_for_repeated_ids_and_long_texts(spark):
+    rows = [(1, "same " * 10)] * 300 + [(2, None), (3, "aé" * 50_000), (4, "b" * 99), (4, "a" * 99)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 4)], "doc_id long, toxic int")
+    sample = frames.labelled_sample(docs, labels, "toxic", F.lit(True), 10, 100)
+    assert sorted(sample) == sorted([("same " * 10, 1), ("", 0), (" ".join(("aé" * 50_000)[k * (100_000 - 25) // 3 :][:25] for k in range(4)), 1), ("a" * 99, 0)])
 
 
 def test_prefixes_shorten_until_the_recall_is_met():

@@ -39,13 +39,20 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def cut(text: Column, chars: int) -> Column:
+    """A text of up to ``chars`` characters whole, a longer one as four parts from all over it."""
+    size, part = F.length(text), chars // 4
+    parts = [F.substring(text, (F.floor(k * (size - part) / 3) + 1).cast("int"), F.lit(part)) for k in range(4)]
+    return F.when(size <= chars, text).when(size > chars, F.concat_ws(" ", *parts)).otherwise("")
+
+
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int
+    docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int, chars: int
 ) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``per_class`` training rows of each class.
+    """Texts, cut to ``chars`` characters, and labels of at most ``per_class`` training ids of each class.
 
-    The rows are those with the smallest hash of doc_id, so the choice does not hang on
-    row order. Ids labelled twice with different labels are left out.
+    The ids are those with the smallest hash, so the choice does not hang on row order. Ids
+    labelled twice with different labels are left out; of rows with one id the least text counts.
     """
     chosen = None
     known = (
@@ -61,8 +68,10 @@ def labelled_sample(
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
-        .select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "label")
+        .groupBy("doc_id", "label")
+        .agg(F.min(cut(F.col("text"), chars)).alias("text"))
+        .withColumn("h", F.xxhash64("doc_id"))
         .collect()
     )
-    rows.sort(key=lambda r: (r["h"], r["doc_id"], r["text"] or ""))
-    return [(r["text"] or "", r["label"]) for r in rows]
+    rows.sort(key=lambda r: (r["h"], r["doc_id"]))
+    return [(r["text"], r["label"]) for r in rows]

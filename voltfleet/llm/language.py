@@ -9,8 +9,8 @@ Words are runs of ASCII letters and digits and of non-ASCII characters, in lower
 Null texts and texts without a letter are ``und`` with score 0; so is every text if no
 training row has a language. Repeated rows get equal results; other columns are not read.
 
-Training is bounded: ``PER_LANGUAGE`` rows of each language (those with the smallest hash of
-doc_id), ``TRAIN_CHARS`` characters of each, ``MOST_WORDS`` words and as many n-grams of each
+Training is bounded: ``PER_LANGUAGE`` ids of each language (those with the smallest hash, each
+with its least text), ``TRAIN_CHARS`` characters of each, ``MOST_WORDS`` words and as many n-grams of each
 length. Only ids are ranked for it, in two steps, so a usual language is no single task's
 work. Prediction reads whole texts.
 """
@@ -101,13 +101,14 @@ def train_on(docs: DataFrame) -> Model | None:
     known = docs.filter((fold(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = known.select("doc_id", "lang").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(PARTS)))
+    ids = known.select("doc_id", "lang").distinct().withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(PARTS)))
     for by in (["lang", "part"], ["lang"]):  # a usual language is cut down in parts first
         first = Window.partitionBy(*by).orderBy(*order)
         ids = ids.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= PER_LANGUAGE).drop("n")
     rows = (
-        known.join(F.broadcast(ids.drop("part").distinct()), ["doc_id", "lang"])  # PER_LANGUAGE ids a language
-        .select(F.substring("text", 1, TRAIN_CHARS).alias("text"), "lang")
+        known.join(F.broadcast(ids.drop("part")), ["doc_id", "lang"])  # PER_LANGUAGE ids a language
+        .groupBy("doc_id", "lang")
+        .agg(F.min(F.substring("text", 1, TRAIN_CHARS)).alias("text"))
         .collect()
     )
     return train([(r["text"], r["lang"]) for r in rows])
@@ -116,7 +117,7 @@ def train_on(docs: DataFrame) -> Model | None:
 def predictions(column: pa.Array, model: Model | None, cache: dict[bytes, list[float]]) -> tuple[list[str], list[float]]:
     """Language and score of every text."""
     lang, score = [], []
-    lettered = [bool(_LETTER.search(t)) for t in texts(column)]
+    lettered = [any(m.group().isalpha() for m in _LETTER.finditer(t)) for t in texts(column)]
     if model is None:
         return ["und"] * len(lettered), [0.0] * len(lettered)
     for found in words.scan(column, blank=False):

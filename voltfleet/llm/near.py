@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.workspace import materialise
@@ -104,11 +104,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     return per_batch(keyed(docs), step, "key long, node binary, size long, prefixes array<long>")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, payload: Column | str = "text") -> DataFrame:
+    """key and node (hash of the text) of every row, and what goes with them."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
         F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("node"),
-        "text",
+        payload,
     )
 
 
@@ -241,21 +242,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of the table, one of each class of near duplicates, with all their columns."""
-    classes = near_classes(docs)
-    staying = classes.filter("key = class_key AND node = class_node").select(
-        F.col("key").alias("_key"), F.col("node").alias("_node"), (F.col("size") == 0).alias("_bare")
-    ).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    node = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    again = Window.partitionBy("_key", "_node").orderBy(F.xxhash64(*docs.columns))
-    return (
-        docs.withColumns({"_key": key, "_node": node})
-        .join(staying, ["_key", "_node"])
-        .withColumn("_n", F.row_number().over(again))
-        .filter("_n = 1 OR _bare")
-        .select(*docs.columns)
+    """Rows of the table, one of each class of near duplicates, with all their columns.
+
+    Texts without words are classes of their own: all of them stay, and none is shuffled.
+    """
+    classes = near_classes(docs).filter("size > 0 AND key = class_key AND node = class_node")
+    bare = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    again = Window.partitionBy("key", "node").orderBy(F.xxhash64("row.*"))
+    others = keyed(docs.filter(~bare), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    first = (
+        others.join(classes.select("key", "node").distinct(), ["key", "node"])
+        .withColumn("n", F.row_number().over(again))
+        .filter("n = 1")
+        .select("row.*")
     )
+    return docs.filter(bare).unionByName(first)
 
 
 def op8_near_join(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ Scores of neighbouring windows are blended, each weighted by the distance to its
 edge, and one best path is sought over the whole stretch: no span breaks at a window's edge.
 
 Null and empty texts have no spans; repeated rows get equal results; other columns are not
-read. The sample holds ``SAMPLE`` documents, ``SAMPLE_CHARS`` characters of each.
+read. The sample holds ``SAMPLE`` ids, ``SAMPLE_CHARS`` characters of each; of rows with one
+id the least text counts.
 """
 
 from __future__ import annotations
@@ -181,9 +182,11 @@ def train_on(docs: DataFrame) -> Tagger:
         docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .join(F.broadcast(ids), "doc_id")
         .filter("text IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows])
 
 

@@ -100,7 +100,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
 def ownership(found: DataFrame) -> DataFrame:
     """value, repositories and owners: how many distinct ones hold each candidate."""
     held = found.select("owner", "repository", F.explode("found.value").alias("value")).distinct()
-    by_owner = held.groupBy("value", "owner").agg(F.countDistinct("repository").alias("n"))
+    by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
     return by_owner.groupBy("value").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
 
 

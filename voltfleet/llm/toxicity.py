@@ -11,7 +11,7 @@ Null and empty texts are one empty window and get the score of no saving at all.
 labels of both classes nothing is known to be toxic: every score is 0. Repeated rows get
 equal scores; other columns of the input are never read.
 
-The training sample is bounded: ``PER_CLASS`` rows of each class, at most ``TRAIN_CHARS``
+The training sample is bounded: ``PER_CLASS`` ids of each class, about ``TRAIN_CHARS``
 characters of each, from four places of the text. Scoring reads whole texts.
 """
 
@@ -68,13 +68,6 @@ class Model:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
-def _bounded(text: str) -> str:
-    if len(text) <= TRAIN_CHARS:
-        return text
-    part = TRAIN_CHARS // 4
-    return " ".join(text[k * (len(text) - part) // 3 :][:part] for k in range(4))
-
-
 def _surroundings(group: list[str]) -> tuple[Counter, int]:
     """How many different neighbourhoods each word stands in, so copies do not count twice."""
     names: dict[int, bytes] = {}
@@ -136,7 +129,6 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(sample: list[tuple[str, int]]) -> Model | None:
     """Dictionaries from two thirds of the sample, calibration from the rest."""
-    sample = [(_bounded(t), y) for t, y in sample]
     if len({y for _, y in sample}) < 2:
         return None
     teach = [s for i, s in enumerate(sample) if i % 3] or sample
@@ -161,7 +153,7 @@ def train(sample: list[tuple[str, int]]) -> Model | None:
 
 def train_on(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Model from the labelled rows outside the held-out fold."""
-    return train(labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, PER_CLASS))
+    return train(labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, PER_CLASS, TRAIN_CHARS))
 
 
 def scores(column: pa.Array, model: Model | None) -> pa.Array:
