@@ -7,7 +7,7 @@ from dataclasses import replace
 import pytest
 
 from voltfleet.functions.derive import add_status
-from voltfleet.operators import metrics
+from voltfleet.operators import metrics, reports
 from voltfleet.operators.metrics import daily_metrics
 from voltfleet.settings import DEFAULTS
 
@@ -138,3 +138,13 @@ def test_health_by_join_equals_wide(records):
         metrics.metric(wide, "high_temp_duration"), cycles.filter("false")
     )
     assert none.first()["soc_cycles"] == 0
+
+
+def test_a_faulty_reading_does_not_end_the_job(records):
+    faulty = 4294967295.0
+    df = records({"speed": 0.0}, {"speed": faulty}, {"speed": faulty})
+    found = day(df)[0]
+    assert found["average_speed"] == pytest.approx(faulty * 2 / 3)
+    assert found["speed_std"] == pytest.approx(faulty / 3**0.5)
+    profile = {r["column_name"]: r for r in reports.column_profile(df).collect()}
+    assert profile["speed"]["std"] == pytest.approx(faulty / 3**0.5)

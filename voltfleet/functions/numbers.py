@@ -31,20 +31,20 @@ def fixed_sum(value: str) -> str:
 def fixed_avg(value: str) -> str:
     """Order-independent mean; null where every value is null."""
     return (
-        f"try_divide(CAST(sum({fixed(value)}) AS DOUBLE),"
+        f"try_divide(CAST(sum(CAST({fixed(value)} AS DECIMAL(19,0))) AS DOUBLE),"
         f" CAST(count({value}) AS DOUBLE) * {FIXED_SCALE})"
     )
 
 
-def fixed_stddev(value: str, whole_table: bool = False) -> str:
+def fixed_stddev(value: str) -> str:
     """Sample standard deviation from exact sums; null below two values.
 
-    Squares of one vehicle's day fit in a BIGINT; those of a whole table need more.
+    Values are widened before they are squared: the square of one faulty reading, such as
+    4294967295, is beyond a BIGINT.
     """
-    v = fixed(value)
-    wide = "DECIMAL(20,0)" if whole_table else "BIGINT"
-    total = f"CAST(sum(CAST({v} AS {wide})) AS DOUBLE)"
-    squares = f"CAST(sum(CAST({v} * {v} AS {wide})) AS DOUBLE)"
+    v = f"CAST({fixed(value)} AS DECIMAL(19,0))"
+    total = f"CAST(sum({v}) AS DOUBLE)"
+    squares = f"CAST(sum({v} * {v}) AS DOUBLE)"
     n = f"CAST(count({value}) AS DOUBLE)"
     spread = f"greatest({squares} - try_divide({total} * {total}, {n}), 0D)"
     return (

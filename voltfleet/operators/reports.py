@@ -159,7 +159,7 @@ def column_profile(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
                 "column_name": text(c),
                 "value_count": f"count({c})",
                 "mean": half_up(fixed_avg(c), 4),
-                "std": half_up(fixed_stddev(c, whole_table=True), 4),
+                "std": half_up(fixed_stddev(c), 4),
                 "min": f"CAST(min({c}) AS DOUBLE)",
                 **{k: number(q) for k, q in zip(("q25", "q50", "q75"), quartiles[c])},
                 "max": f"CAST(max({c}) AS DOUBLE)",
