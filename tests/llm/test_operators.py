@@ -313,6 +313,21 @@ def test_decontamination(docs, empty, benchmark, rows, block_words):
     assert fmindex.find(docs, benchmark.limit(0)).filter("hit IS NOT NULL").count() == 0
 
 
+def test_blocks_cut_overlapping_items_as_one_does(spark):
+    pairs = [[f"k{n}x{i}" for i in range(14)] for n in range(6)]
+    items = [(2 * n + k, " ".join(p[: 10 + 4 * k])) for n, p in enumerate(pairs) for k in (0, 1)]
+    # Cut ends become neighbours: what follows a cut must not match with what stood before it.
+    split = [" ".join([*p[:5], *(f"z{i}" for i in range(10)), *p[5:]]) for p in pairs]
+    items.append((99, " ".join(f"z{i}" for i in range(10))))
+    found = [f"before {' '.join(p)} after" for p in pairs] + [f"before {t} after" for t in split]
+    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [{r["doc_id"]: r["text"] for r in fmindex.remove(docs, benchmark, n).collect()} for n in (20, fmindex.BLOCK_WORDS)]
+    assert texts[0] == texts[1]
+    assert all(texts[0][n].split() == ["before", "after"] for n in range(6))
+    assert all(texts[0][6 + n].split() == ["before", *p, "after"] for n, p in enumerate(pairs))
+
+
 def test_suffix_order_and_wavelet():
     rng = np.random.default_rng(3)
     for _ in range(20):

@@ -208,6 +208,20 @@ def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
         yield phrases([(r["item"], r["text"]) for r in part.collect()])
 
 
+def _merge(column: pa.Array, sought: Phrases, hits: list, items: list):
+    """Add a block's hit words and items to those of the blocks before it; yields each shard's words."""
+    for found, hit, held in _hits(column, sought):
+        edge = found.bounds()
+        some = np.flatnonzero(hit)
+        cut = np.searchsorted(some, edge)
+        for k in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+            own = some[cut[k] : cut[k + 1]] - edge[k]
+            row = found.first + k
+            hits[row] = sorted({*(hits[row] or ()), *own.tolist()})
+            items[row] = sorted({*(items[row] or ()), *held[k]})
+        yield found, edge
+
+
 def find(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, number of words, hit words (as numbers) and items of every text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -219,16 +233,8 @@ def find(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
 
         def step(batch: pa.RecordBatch, sought=sought) -> pa.RecordBatch:
             counts, hits, items = [], batch["hit"].to_pylist(), batch["items"].to_pylist()
-            for found, hit, held in _hits(batch["text"], sought):
-                edge = found.bounds()
+            for _, edge in _merge(batch["text"], sought, hits, items):
                 counts.extend(np.diff(edge).tolist())
-                some = np.flatnonzero(hit)
-                cut = np.searchsorted(some, edge)
-                for k in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                    own = some[cut[k] : cut[k + 1]] - edge[k]
-                    row = found.first + k
-                    hits[row] = sorted({*(hits[row] or ()), *own.tolist()})
-                    items[row] = sorted({*(items[row] or ()), *held[k]})
             return pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text"], pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
                 ["doc_id", "text", "n_words", "hit", "items"],
@@ -251,24 +257,35 @@ def _without(data: bytes, start: np.ndarray, end: np.ndarray, hit: np.ndarray) -
 def remove(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The table with hit spans cut out of its texts; untouched texts stay as they are.
 
-    Spans of later blocks are sought in what the earlier ones left. ``n_chars``, where the
-    table has it, follows the text.
+    Every block is sought in the untouched text; the hit words of all blocks are cut out
+    together, in the last pass. ``n_chars``, where the table has it, follows the text.
     """
-    for sought in blocks(benchmark, block_words):
-
-        def step(batch: pa.RecordBatch, sought=sought) -> pa.RecordBatch:
-            changed: dict[int, str] = {}
-            for found, hit, held in _hits(batch["text"], sought):
-                edge = found.bounds()
-                for k in held:
-                    a, b = edge[k], edge[k + 1]
+    schema, name = docs.schema, "hit"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    out = docs.withColumn(name, F.lit(None).cast("array<int>"))
+    wide, parts = out.schema, list(blocks(benchmark, block_words))
+    for n, sought in enumerate(parts, 1):
+
+        def step(batch: pa.RecordBatch, sought=sought, last=n == len(parts)) -> pa.RecordBatch:
+            *columns, hits = batch.columns
+            hits, changed = hits.to_pylist(), {}
+            for found, edge in _merge(batch["text"], sought, hits, [None] * len(hits)):
+                for k in range(found.texts) if last else ():
                     row, low = found.first + k, found.offsets[k]
-                    data = batch["text"][row].as_py().encode()
-                    changed[row] = _without(data, found.start[a:b] - low, found.end[a:b] - low, hit[a:b]).decode()
-            return with_texts(batch, changed)
-
-        docs = per_batch(docs, step, docs.schema)
-    return docs
+                    if hits[row]:
+                        a, b = edge[k], edge[k + 1]
+                        hit = np.zeros(b - a, bool)
+                        hit[hits[row]] = True
+                        data = batch["text"][row].as_py().encode()
+                        changed[row] = _without(data, found.start[a:b] - low, found.end[a:b] - low, hit).decode()
+            fields = list(batch.schema)
+            if last:
+                return with_texts(pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields[:-1])), changed)
+            return pa.RecordBatch.from_arrays([*columns, pa.array(hits, fields[-1].type)], schema=batch.schema)
+
+        out = per_batch(out, step, schema if n == len(parts) else wide)
+    return out
 
 
 def with_texts(batch: pa.RecordBatch, changed: dict[int, str]) -> pa.RecordBatch:
