@@ -149,6 +149,29 @@ def test_tagger_learns_its_spans(tagger):
     assert (got == tags)[tags > 0].mean() > 0.8
 
 
+def test_tagger_reads_text_without_digits_or_at_signs():
+    lines = ["some words went out to other places and then more of them came after", "nothing at all was said about the weather or the long road"]
+    model = pii.train([f"{a} {b} " * 3 for a in lines for b in lines])
+    text = "more words came to jane (at) example (dot) org and then nothing was said about the road"
+    spans = pii.model_spans([text, "", text, lines[0]], model)
+    assert [text[a:b] for _, a, b in spans[0]] == ["jane (at) example (dot) org"]
+    assert spans[2] == spans[0] and spans[1] == spans[3] == []
+
+
+def test_best_path_equals_stepwise_decoding():
+    rng = np.random.default_rng(2)
+    model = pii.Tagger(pii.TAGS, pii._allowed())
+    for low in (0.0, 3.0, 6.0):
+        model.w["trans"] = rng.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+        sizes = np.array([1, 2, 40, 900, 7, 300])
+        first = np.append(0, np.cumsum(sizes + 1)[:-1])
+        scores = rng.standard_normal((int(sizes.sum()) + len(sizes), pii.TAGS)).astype(np.float32)
+        scores[:, 0] += low
+        tags = model.best_path(scores, first, sizes)
+        for a, n in zip(first, sizes, strict=True):
+            assert tags[a : a + n].tolist() == model.decode(scores[None, a : a + n], np.array([n]))[0].tolist()
+
+
 def test_spans_do_not_break_at_windows(tagger):
     text = "word " * 11 + "reach me at +1 (415) 555-0100 " + "word " * 40
     assert (3, 67, 84) in pii.find_spans([text], tagger)[0][0]

@@ -5,10 +5,9 @@ on spans labelled by the patterns in a bounded sample of documents, on such span
 changed spellings, and on spans made up by rule, all set among the corpus's own prose. It
 adds spans that touch no base span: other spellings of the same kinds.
 
-Decoding goes over windows of ``WINDOW`` characters, ``STRIDE`` apart. A span must hold a
-digit or an at sign, so windows without one are passed over; no span can be lost by that.
+Decoding goes over all windows of ``WINDOW`` characters, ``STRIDE`` apart, of the whole text.
 Scores of neighbouring windows are blended, each weighted by the distance to its window's
-edge, and one best path is sought over the whole stretch: no span breaks at a window's edge.
+edge, and one best path is sought over the whole text: no span breaks at a window's edge.
 
 Null and empty texts have no spans; repeated rows get equal results; other columns are not
 read. The sample holds ``SAMPLE`` ids, ``SAMPLE_CHARS`` characters of each; of rows with one
@@ -32,6 +31,10 @@ from .frames import per_batch, table, texts
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
 SAMPLE, SAMPLE_CHARS, TRAIN_ROWS = 2000, 8000, 6000
+#: Windows whose best paths are sought together.
+GROUP = 4096
+#: Share of the training windows that hold nothing but prose.
+PLAIN = 0.2
 #: Tags: outside, then first and further characters of each kind.
 TAGS = 1 + 2 * len(KINDS)
 
@@ -91,7 +94,8 @@ def _made_up(rng: np.random.Generator, kind: int, names: list[str]) -> str:
     if kind == 0:
         at = ("@", "@", "@", " @ ", " (at) ", "[@]")[rng.integers(6)]
         dot = "." if "(" not in at else " (dot) "
-        return f"{word()}{('.', '_', '')[rng.integers(3)]}{digits(rng.integers(1, 4))}{at}{word()}{dot}{('com', 'org', 'net', 'de')[rng.integers(4)]}"
+        tail = (digits(rng.integers(1, 4)), word(), "")[rng.integers(3)]
+        return f"{word()}{('.', '_', '')[rng.integers(3)]}{tail}{at}{word()}{dot}{('com', 'org', 'net', 'de')[rng.integers(4)]}"
     if kind == 1:
         gap = (".", ".", ".", "[.]")[rng.integers(4)]
         return gap.join(str(rng.integers(0, 256)) for _ in range(4))
@@ -105,8 +109,11 @@ def _made_up(rng: np.random.Generator, kind: int, names: list[str]) -> str:
     return (f"+{digits(1)} ({area}) {mid}-{end}", f"+{digits(2)} {area} {mid} {end}", f"({area}) {mid}-{end}", f"00{digits(2)} {area} {mid} {end}")[shape]
 
 
-def _unrelated(rng: np.random.Generator) -> str:
-    """Digits that are no personal data: counts, versions, dates, hex and keys."""
+def _unrelated(rng: np.random.Generator, names: list[str]) -> str:
+    """What is no personal data: words in brackets, counts, versions, dates, hex and keys."""
+    if rng.random() < 0.15:
+        word = names[rng.integers(len(names))]
+        return (f"({word})", f"[{word}]", f"{word} ({word}) {word}.", f"{word}.{word}")[rng.integers(4)]
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
     hexes = "".join("0123456789abcdef"[i] for i in rng.integers(0, 16, 32))
     upper = "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[i] for i in rng.integers(0, 36, 20))
@@ -129,6 +136,9 @@ def training_rows(sample: list[str], count: int, seed: int = 5) -> tuple[np.ndar
     for row in range(count):
         source = prose[rng.integers(len(prose))]
         at = int(rng.integers(0, max(1, len(source) - 2 * WINDOW)))
+        if rng.random() < PLAIN:
+            chars[row] = numbers(source[at : at + WINDOW])
+            continue
         parts, marks = [], []
         for _ in range(int(rng.integers(1, 4))):
             words = source[at : at + int(rng.integers(4, 30))]
@@ -137,7 +147,7 @@ def training_rows(sample: list[str], count: int, seed: int = 5) -> tuple[np.ndar
             marks.append([0] * (len(words) + 1))
             pick = rng.random()
             if pick < 0.3:
-                part, kind = _unrelated(rng), None
+                part, kind = _unrelated(rng, names), None
             elif pick < 0.6 and real:
                 kind, part = real[rng.integers(len(real))]
                 part = "".join(str(rng.integers(10)) if c.isdigit() and kind in (0, 3) else c for c in part)
@@ -190,70 +200,61 @@ def train_on(docs: DataFrame) -> Tagger:
     return train([r["text"] for r in rows])
 
 
-def _stretches(text: str) -> list[tuple[int, int]]:
-    """First and last number of the windows, in runs of neighbours, that hold a mark."""
-    out: list[list[int]] = []
-    last = max(0, -(-(len(text) - WINDOW) // STRIDE))
-    at = _MARK.search(text)
-    while at:
-        p = at.start()
-        low, high = max(0, -(-(p - WINDOW + 1) // STRIDE)), min(last, p // STRIDE)
-        if out and low <= out[-1][1] + 1:
-            out[-1][1] = max(high, out[-1][1])
-        else:
-            out.append([low, high])
-        at = _MARK.search(text, p + 1)
-    return [(a, b) for a, b in out]
-
-
 _EDGE = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
 
 
 def model_spans(found: list[str], model: Tagger) -> list[list[tuple[int, int, int]]]:
     """Kind, start and end of the tagger's spans in each text."""
     spans: list[list[tuple[int, int, int]]] = [[] for _ in found]
-    work = [(row, low, high) for row, text in enumerate(found) for low, high in _stretches(text)]
-    work.sort(key=lambda x: x[2] - x[1])
-    while work:
-        group, windows = [], 0
-        while work and (not group or windows + work[-1][2] - work[-1][1] + 1 <= 512):
-            group.append(work.pop())
-            windows += group[-1][2] - group[-1][1] + 1
-        _tag(found, group, model, spans)
+    same: dict[str, list[int]] = {}
+    for row, text in enumerate(found):
+        if text:
+            same.setdefault(text, []).append(row)
+    group, chars = [], 0
+    for text in same:  # equal texts are read once
+        group.append(text)
+        chars += len(text)
+        if chars >= GROUP * STRIDE:
+            _tag(group, model, same, spans)
+            group, chars = [], 0
+    if group:
+        _tag(group, model, same, spans)
     return spans
 
 
-def _tag(found, group, model, spans) -> None:
-    codes = [numbers(found[row][low * STRIDE : high * STRIDE + WINDOW]) for row, low, high in group]
-    place = [(g, k) for g, (_, low, high) in enumerate(group) for k in range(high - low + 1)]
-    sizes = np.array([len(c) for c in codes])
-    blend = np.zeros((len(group), int(sizes.max()) + WINDOW, TAGS), np.float32)
-    weight = np.zeros(blend.shape[:2], np.float32)
-    for begin in range(0, len(place), 512):  # one stretch may be long
-        part = place[begin : begin + 512]
-        chars = np.full((len(part), WINDOW), PAD, np.int64)
-        for n, (g, k) in enumerate(part):
-            piece = codes[g][k * STRIDE : k * STRIDE + WINDOW]
-            chars[n, : len(piece)] = piece
-        scores = model.emissions(chars)
-        for n, (g, k) in enumerate(part):
-            blend[g, k * STRIDE : k * STRIDE + WINDOW] += scores[n] * _EDGE[:, None]
-            weight[g, k * STRIDE : k * STRIDE + WINDOW] += _EDGE
+def _tag(group: list[str], model: Tagger, same: dict[str, list[int]], spans: list[list]) -> None:
+    """Blend the scores of all windows of some texts, and add the spans of the best path to their rows."""
+    sizes = np.array([len(t) for t in group])
+    windows = np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1
+    # Texts lie one after the other in blocks of STRIDE characters, with an empty block behind each.
+    block = np.append(0, np.cumsum(windows + 2))
+    codes = np.full(int(block[-1]) * STRIDE, PAD, np.uint8)
+    for text, k in zip(group, block[:-1].tolist(), strict=True):
+        codes[k * STRIDE : k * STRIDE + len(text)] = numbers(text)
+    own = np.repeat(block[:-1] - np.append(0, np.cumsum(windows)[:-1]), windows) + np.arange(int(windows.sum()))
+    blend = np.zeros((int(block[-1]), STRIDE, TAGS), np.float32)
+    weight = np.zeros((int(block[-1]), STRIDE), np.float32)
+    for part in np.array_split(own, -(-len(own) // 512)):  # one text may be long
+        scores = model.emissions(codes[part[:, None] * STRIDE + np.arange(WINDOW)]) * _EDGE[:, None]
+        for half in (0, 1):
+            blend[part + half] += scores[:, half * STRIDE : (half + 1) * STRIDE]
+            weight[part + half] += _EDGE[half * STRIDE : (half + 1) * STRIDE]
     blend /= np.maximum(weight, 1)[:, :, None]
-    tags = model.decode(blend[:, : int(sizes.max())], sizes)
-    for g, (row, low, _) in enumerate(group):
-        line = tags[g, : sizes[g]]
-        for a in np.flatnonzero(line % 2 == 1).tolist():
-            b = a + 1
-            while b < len(line) and line[b] == line[a] + 1:
-                b += 1
-            start, end = a + low * STRIDE, b + low * STRIDE
-            while end > start and found[row][end - 1].isspace():
-                end -= 1
-            while start < end and found[row][start].isspace():
-                start += 1
-            if _MARK.search(found[row], start, end):
-                spans[row].append((int(line[a] // 2), start, end))
+    tags = model.best_path(blend.reshape(-1, TAGS), block[:-1] * STRIDE, sizes)
+    begins = np.flatnonzero(tags % 2 == 1)
+    owner = np.searchsorted(block * STRIDE, begins, side="right") - 1
+    for a, g in zip(begins.tolist(), owner.tolist(), strict=True):
+        text, low, b = group[g], int(block[g]) * STRIDE, a + 1
+        while tags[b] == tags[a] + 1:  # the block behind a text has tag 0
+            b += 1
+        start, end = a - low, b - low
+        while end > start and text[end - 1].isspace():
+            end -= 1
+        while start < end and text[start].isspace():
+            start += 1
+        if start < end:
+            for row in same[text]:
+                spans[row].append((int(tags[a] // 2), start, end))
 
 
 def find_spans(found: list[str], model: Tagger) -> list[tuple[list, list]]:
