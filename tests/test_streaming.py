@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from voltfleet.operators import realtime
-from voltfleet.sources import feed, messages
+from voltfleet.sources import feed, messages, sample
 from voltfleet.sources.workspace import fresh_folder
 from voltfleet.streaming import jobs, stateful, windows
 
@@ -65,6 +66,33 @@ def test_late_records(spark, records, late, seqs, dropped):
         stateful.stream_window_metrics(spark.readStream.format("rate").load(), late="maybe")
 
 
+def test_unread_times_stay_in_the_state(spark, records):
+    df = records({"at": 0}, {"at": 20}, {"at": "n/a", "soc": 40.0}, {"at": 10}, {"at": 30}, {"at": 40})
+    parts = [df.filter("seq < 2"), df.filter("seq = 2"), df.filter("seq > 2")]
+    got = {}
+    for job in (stateful.stream_window_metrics, stateful.stream_pairwise_metrics):
+        out = spark.read.parquet(stream_over(spark, parts, job))
+        got[job] = {r["seq"]: r for r in out.collect()}
+    window, pair = got.values()
+    assert sorted(window) == [1, 2, 4, 5] and sorted(pair) == [0, 1, 2, 4, 5]  # 10 is late, as 20 was read
+    assert window[2]["window_end_time"] is None and window[2]["window_duration"] == 1.0
+    assert window[5]["record_count"] == 5 and window[5]["window_duration"] == 40.0
+    assert pair[2]["soc_rate_per_hour"] == -7200.0 == -pair[4]["soc_rate_per_hour"]
+    assert pair[5]["late_records"] == window[5]["late_records"] == 1
+
+
+def test_played_records_with_unread_times(spark):
+    written = sample.written(spark, SF_SMALL).limit(400).cache()
+    unread = written.filter("timestamp = 'n/a'").count()
+    assert unread and sum(p.count() for p in feed.time_slices(written, 2)) == 400
+    out = stream_over(spark, feed.time_slices(written.withColumn("date", F.lit(1)), 2), stateful.stream_pairwise_metrics)
+    got = spark.read.parquet(out)
+    assert got.count() == 400 and got.filter("timestamp IS NULL").count() == unread
+    out = stream_over(spark, feed.time_slices(written, 2), stateful.stream_window_metrics)
+    vehicles = written.select("vehicle_id").distinct().count()
+    assert spark.read.parquet(out).count() == 400 - vehicles
+
+
 def test_event_time_windows_update(spark, drive):
     out = stream_over(
         spark, feed.time_slices(drive, 2), windows.stream_sliding_windows, jobs.run_updates

@@ -11,15 +11,15 @@ from voltfleet.sources.messages import send_batch
 
 
 def time_slices(df: DataFrame, slices: int) -> list[DataFrame]:
-    """The records cut into equal spans of time, oldest first."""
-    day = F.datediff("timestamp", F.lit("2000-01-01").cast("date")).cast("bigint")
-    clock = F.expr("hour(timestamp) * 3600 + minute(timestamp) * 60 + second(timestamp)")
-    at = day * 86400 + clock
+    """The records cut into equal spans of time, oldest first; unread times go with the oldest."""
+    time = F.col("timestamp").try_cast("timestamp_ntz")
+    day = F.datediff(time, F.lit("2000-01-01").cast("date")).cast("bigint")
+    at = day * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
     edge = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
     if edge["lo"] is None:
         return [df]
     width = (edge["hi"] - edge["lo"]) // slices + 1
-    place = F.floor((at - F.lit(edge["lo"])) / F.lit(width))
+    place = F.coalesce(F.floor((at - F.lit(edge["lo"])) / F.lit(width)), F.lit(0))
     return [df.filter(place == i) for i in range(slices)]
 
 

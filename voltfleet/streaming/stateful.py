@@ -4,6 +4,9 @@ Both keep a small, bounded state per vehicle. Records of one micro-batch are put
 time order first; how many there can be is set at the source (``per_trigger``).
 A record older than the newest one already seen is late: it is dropped and counted
 in the state, or with ``late="insert"`` put in its place among the kept records.
+A record whose time cannot be read is never late: it stands behind the records kept so far
+and before the others of its micro-batch. A window with such an edge lasts 1 s, and a pair
+with such a record ``interval_seconds``.
 """
 
 from __future__ import annotations
@@ -87,6 +90,10 @@ _STATE = T.StructType(
 )
 
 
+#: A time that cannot be read, as a number: what numpy makes of a missing stamp.
+_UNREAD = np.iinfo("int64").min
+
+
 def _half_up(value: Any, digits: int) -> Any:
     scale = float(10**digits)
     return np.floor(value * scale + 0.5) / scale
@@ -126,13 +133,26 @@ def _arrivals(
     at = arrived["timestamp"].to_numpy().astype("datetime64[us]").astype("int64")
     arrived = arrived.assign(at=at)[["at", "seq", *_VALUES]]
     arrived[list(_VALUES)] = arrived[list(_VALUES)].astype("float64")
+    # An unread time takes the place of the newest one read before it.
+    history = history.assign(place=np.maximum.accumulate(history["at"].to_numpy()))
+    newest = history["place"].iloc[-1] if len(history) else _UNREAD
+    arrived = arrived.assign(place=np.where(at == _UNREAD, newest, at))
     if len(history) and not insert:
-        in_time = arrived["at"] >= history["at"].iloc[-1]
+        in_time = arrived["place"] >= newest
         late += int((~in_time).sum())
         arrived = arrived[in_time]
     arrived = arrived.assign(new=True)
     rows = pd.concat([history.assign(new=False), arrived]) if len(history) else arrived
-    return rows.sort_values(["at", "seq"], kind="stable", ignore_index=True), late
+    rows = rows.assign(unread=rows["at"] == _UNREAD)
+    return rows.sort_values(["place", "unread", "seq"], kind="stable", ignore_index=True), late
+
+
+def _newest(rows: pd.DataFrame, size: int) -> pd.DataFrame:
+    """The last records; before them the last one with a time, if none of them has one."""
+    last = rows.tail(size)
+    if last["unread"].all():
+        return pd.concat([rows.iloc[: len(rows) - len(last)].loc[lambda r: ~r["unread"]].tail(1), last])
+    return last
 
 
 def _step_window(cfg: Settings, insert: bool):
@@ -143,7 +163,8 @@ def _step_window(cfg: Settings, insert: bool):
         rows, late = _arrivals(batches, history, late, insert)
         index = np.arange(len(rows))
         first = np.maximum(index - size + 1, 0)
-        seconds = (rows["at"].to_numpy() - rows["at"].to_numpy()[first]) / 1_000_000
+        at, unread = rows["at"].to_numpy(), rows["unread"].to_numpy()
+        seconds = np.where(unread | unread[first], 0, at - at[first]) / 1_000_000
         duration = np.where(seconds == 0, 1.0, seconds)
 
         def since(totals: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -185,7 +206,7 @@ def _step_window(cfg: Settings, insert: bool):
                 "late_records": late,
             }
         )
-        _keep(state, rows.tail(size), late)
+        _keep(state, _newest(rows, size), late)
         yield out[rows["new"].to_numpy() & (index > 0)]
 
     return step
@@ -195,7 +216,10 @@ def _step_pair(cfg: Settings, insert: bool):
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         history, late = _kept(state)
         rows, late = _arrivals(batches, history, late, insert)
+        unread = rows["unread"].to_numpy(copy=True)
+        unread[1:] |= unread[:-1].copy()
         seconds = rows["at"].diff() / 1_000_000
+        seconds = seconds.mask(unread, float(cfg.interval_seconds))
         elapsed = seconds.where(seconds > 0)
         rate = lambda c: rows[c].diff() / elapsed
         out = pd.DataFrame(
@@ -216,7 +240,7 @@ def _step_pair(cfg: Settings, insert: bool):
                 "late_records": late,
             }
         )
-        _keep(state, rows.tail(1), late)
+        _keep(state, _newest(rows, 1), late)
         yield out[rows["new"].to_numpy()]
 
     return step
@@ -224,7 +248,7 @@ def _step_pair(cfg: Settings, insert: bool):
 
 def _per_vehicle(stream: DataFrame, step, out: T.StructType) -> DataFrame:
     needed = ["vehicle_id", "timestamp", "seq", *_VALUES]
-    known = stream.filter("vehicle_id IS NOT NULL AND timestamp IS NOT NULL").select(*needed)
+    known = stream.filter("vehicle_id IS NOT NULL").select(*needed)
     return known.groupBy("vehicle_id").applyInPandasWithState(
         step, out, _STATE, "append", GroupStateTimeout.NoTimeout
     )
