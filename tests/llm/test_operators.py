@@ -229,6 +229,15 @@ def test_language(spark):
     assert found[3]["score"] == 0.0 and all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_language_learns_whole_texts_and_small_languages(spark):
+    header = "same words in front " * 400
+    long = [(i, header + (" zebra" if i % 2 else " quagga") * 60, "aa" if i % 2 else "bb") for i in range(40)]
+    model = language.train_on(spark.createDataFrame(long, "doc_id long, text string, lang string"))
+    assert language.predictions(pa.array(["zebra", "quagga"]), model, {})[0] == ["aa", "bb"]
+    counts = [Counter({f"w{i}": 100 - i for i in range(20)}), Counter(x=3, y=2)]
+    assert set(language._logs(counts, 3, 1)) == {"w0", "w1", "w2", "x", "y"}
+
+
 def test_bpe_against_the_library(docs, empty, rows):
     import public_tokenizers
     import tiktoken

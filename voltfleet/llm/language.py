@@ -10,13 +10,14 @@ Null texts and texts without a letter are ``und`` with score 0; so is every text
 training row has a language. Repeated rows get equal results; other columns are not read.
 
 Training is bounded: ``PER_LANGUAGE`` ids of each language (those with the smallest hash, each
-with its least text), ``TRAIN_CHARS`` characters of each, ``MOST_WORDS`` words and as many n-grams of each
-length. Only ids are ranked for it, in two steps, so a usual language is no single task's
+with its least text), ``TRAIN_CHARS`` characters from all over each, and of each language
+``MOST_WORDS`` words and as many n-grams of each length. Only ids are ranked for it, in two steps, so a usual language is no single task's
 work. Prediction reads whole texts.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
-from .frames import fold, per_batch, table, texts
+from .frames import cut, fold, per_batch, table, texts
 
 PER_LANGUAGE, TRAIN_CHARS, MOST_WORDS, LONGEST, PARTS = 1500, 5000, 50_000, 4, 256
 _LETTER = re.compile(r"[^\W\d_]")
@@ -40,11 +41,14 @@ def _grams(word: bytes, n: int) -> list[str]:
 
 
 def _logs(counts: list[Counter], most: int, least: int) -> dict:
-    """Log frequency by language of the most frequent entries."""
+    """Log frequency by language of the most frequent entries of each language."""
     total = Counter()
     for c in counts:
         total.update(c)
-    kept = sorted((k for k, n in total.items() if n >= least), key=lambda k: (-total[k], k))[:most]
+    kept = set()
+    for c in counts:
+        kept.update(heapq.nsmallest(most, (k for k in c if total[k] >= least), key=lambda k: (-c[k], k)))
+    kept = sorted(kept)
     sizes = [sum(c.values()) + 0.1 * (len(kept) + 1) for c in counts]
     return {k: [math.log((c[k] + 0.1) / s) for c, s in zip(counts, sizes, strict=True)] for k in kept}
 
@@ -74,9 +78,9 @@ def train(sample: list[tuple[str, str]]) -> Model | None:
     sample = sorted(sample)
     for found in words.scan(pa.array([t for t, _ in sample], pa.string()), blank=False):
         data, edge = found.data.tobytes(), found.bounds()
-        cut = [data[a:b] for a, b in zip(found.start.tolist(), found.end.tolist(), strict=True)]
+        own = [data[a:b] for a, b in zip(found.start.tolist(), found.end.tolist(), strict=True)]
         for k in range(found.texts):
-            seen[place[sample[found.first + k][1]]].update(cut[edge[k] : edge[k + 1]])
+            seen[place[sample[found.first + k][1]]].update(own[edge[k] : edge[k + 1]])
     known = _logs(seen, MOST_WORDS, 2)
     order = list(known)
     grams = []
@@ -108,7 +112,7 @@ def train_on(docs: DataFrame) -> Model | None:
     rows = (
         known.join(F.broadcast(ids.drop("part")), ["doc_id", "lang"])  # PER_LANGUAGE ids a language
         .groupBy("doc_id", "lang")
-        .agg(F.min(F.substring("text", 1, TRAIN_CHARS)).alias("text"))
+        .agg(F.min(cut(F.col("text"), TRAIN_CHARS)).alias("text"))
         .collect()
     )
     return train([(r["text"], r["lang"]) for r in rows])

@@ -10,7 +10,7 @@ Scores of neighbouring windows are blended, each weighted by the distance to its
 edge, and one best path is sought over the whole text: no span breaks at a window's edge.
 
 Null and empty texts have no spans; repeated rows get equal results; other columns are not
-read. The sample holds ``SAMPLE`` ids, ``SAMPLE_CHARS`` characters of each; of rows with one
+read. The sample holds ``SAMPLE`` ids, ``SAMPLE_CHARS`` characters from all over each; of rows with one
 id the least text counts.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .bilstm import PAD, Tagger, numbers
 from .fmindex import with_texts
-from .frames import per_batch, table, texts
+from .frames import cut, per_batch, table, texts
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -189,9 +189,9 @@ def train_on(docs: DataFrame) -> Tagger:
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = (
-        docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        docs.filter("text IS NOT NULL")
+        .select("doc_id", cut(F.col("text"), SAMPLE_CHARS).alias("text"))
         .join(F.broadcast(ids), "doc_id")
-        .filter("text IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"))
         .collect()
