@@ -36,9 +36,9 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens, and ids as little-endian unsigned 32-bit integers."""
+    """doc_id, number of tokens, ids as little-endian unsigned 32-bit integers, digest of what they decode to."""
     ids = bpe.encode(docs, bpe.ranks_path())
-    return ids.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return ids.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [

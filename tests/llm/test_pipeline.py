@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 import tiktoken
@@ -35,6 +37,13 @@ def test_stages(spark):
         assert np.frombuffer(r["ids"], "<u4").tolist() == want and r["n_tokens"] == len(want)
 
 
+def test_last_stage_decodes_its_ids(spark):
+    texts = ["some words, 12.5 éß", None, "", "x" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.to_ids(spark, docs, SF_SMALL).collect()}
+    assert found == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     from check_oracles import compare, duck

@@ -349,7 +349,7 @@ def decode_ids(ids: np.ndarray, edges: np.ndarray, pool) -> tuple[np.ndarray, np
 
 
 def encode(docs: DataFrame, path: str, most: int = TABLE) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit integers) of every whole text."""
+    """doc_id, ids (little-endian unsigned 32-bit integers) and the decoded bytes' digest of every whole text."""
     return _coded(docs, path, most, False)
 
 
@@ -368,23 +368,25 @@ def _coded(docs: DataFrame, path: str, most: int, digests: bool) -> DataFrame:
         for ids, edges in encode_batch(batch["text"], state["ranks"], state["known"], state["cache"]):
             raw = ids.astype("<u4").tobytes()
             cut = edges.tolist()
+            data, bounds = decode_ids(ids, edges, state["pool"])
+            data, bounds = data.tobytes(), bounds.tolist()
+            decoded += [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:], strict=False)]
             if not digests:
                 ids_out += [raw[4 * a : 4 * b] for a, b in zip(cut, cut[1:], strict=False)]
                 continue
-            data, bounds = decode_ids(ids, edges, state["pool"])
-            data, bounds = data.tobytes(), bounds.tolist()
             counts += [b - a for a, b in zip(cut, cut[1:], strict=False)]
             sums += [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
-            decoded += [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:], strict=False)]
         if not digests:
-            return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids_out, pa.binary())], ["doc_id", "ids"])
+            return pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(ids_out, pa.binary()), pa.array(decoded)], ["doc_id", "ids", "decoded_sha256"]
+            )
         return pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), pa.array(decoded)],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    tail = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids binary"
+    tail = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded_sha256 string"
     return per_batch(docs.select("doc_id", "text"), step, f"doc_id {kind}, {tail}")
 
 
