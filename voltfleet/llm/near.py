@@ -1,10 +1,10 @@
-"""Join of all pairs of texts with similar word shingles: a MinHash LSH forest.
+"""Join of all pairs of texts with similar word shingles: MinHash with banding.
 
 Shingles are five words in a row (a shorter text is one shingle); words are runs of
-non-blank characters. A text's signature is cut into ``TREES`` paths. Texts that share a
-prefix of a path meet at one node of that tree's trie. Prefixes start at ``LONGEST`` values
-and are shortened until a pair at the threshold meets somewhere with the target recall;
-matched nodes are then verified exactly, on whole shingle sets.
+non-blank characters. A text's signature has ``TREES`` bands. Texts with equal bands meet at a
+node. A band's length is at most ``LONGEST`` values and the longest one with which a pair at
+the threshold meets somewhere with the target recall: it hangs on constants only, not on the
+data. Matched nodes are then verified exactly, on whole shingle sets.
 
 How it stays bounded:
 
