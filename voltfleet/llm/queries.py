@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import rules, substrings
+from . import merkle, rules, substrings
 from .bpe import op3_byte_bpe
 from .fmindex import op6_decontamination
 from .language import op10_language
+from .merkle import op11_manifest
 from .near import op8_near_join
 from .pii import op1_pii
 from .quality import op5_quality
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_near_join": op8_near_join,
     "op9_rules": op9_rules,
     "op10_language": op10_language,
+    "op11_manifest": op11_manifest,
 }
-ORACLES = {"op4_substrings": substrings.ORACLE, "op9_rules": rules.ORACLE}
+ORACLES = {"op4_substrings": substrings.ORACLE, "op9_rules": rules.ORACLE, "op11_manifest": merkle.ORACLE}
