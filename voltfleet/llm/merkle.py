@@ -290,9 +290,8 @@ def manifest(leaves: DataFrame, key: str, height: int = HEIGHT) -> DataFrame:
     crown = Tree(materialise(place(named, ["name"], "crown"), "crown_positions"), height)
     first = crown.roots.first()
     root = first["digest"] if first else None
-    start = leaves.sparkSession.range(1).selectExpr(
-        "'' AS grp", "'' AS top", "CAST(array() AS ARRAY<STRING>) AS `left`", "CAST(array() AS ARRAY<STRING>) AS `right`"
-    )
+    none = "CAST(array() AS ARRAY<STRING>)"
+    start = crown.roots.selectExpr("grp", "'' AS top", f"{none} AS `left`", f"{none} AS `right`")
     tops = crown.descend(
         start,
         lambda row, suffix, top: (row[8], row[4], *lists_of(suffix)),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import merkle, rules, substrings
+from . import merkle, rules, shallot, substrings
 from .bpe import op3_byte_bpe
 from .fmindex import op6_decontamination
 from .language import op10_language
@@ -12,6 +12,7 @@ from .pii import op1_pii
 from .quality import op5_quality
 from .rules import op9_rules
 from .secrets import op7_secrets
+from .shallot import op12_centroids
 from .substrings import op4_substrings
 from .toxicity import op2_toxicity
 
@@ -27,5 +28,11 @@ QUERIES = {
     "op9_rules": op9_rules,
     "op10_language": op10_language,
     "op11_manifest": op11_manifest,
+    "op12_centroids": op12_centroids,
+}
+ORACLES = {
+    "op4_substrings": substrings.ORACLE,
+    "op9_rules": rules.ORACLE,
+    "op11_manifest": merkle.ORACLE,
+    "op12_centroids": shallot.ORACLE,
 }
-ORACLES = {"op4_substrings": substrings.ORACLE, "op9_rules": rules.ORACLE, "op11_manifest": merkle.ORACLE}
