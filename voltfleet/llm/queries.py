@@ -6,6 +6,7 @@ from . import merkle, rules, shallot, substrings
 from .bpe import op3_byte_bpe
 from .fmindex import op6_decontamination
 from .language import op10_language
+from .lattice import op13_lattice
 from .merkle import op11_manifest
 from .near import op8_near_join
 from .pii import op1_pii
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_manifest": op11_manifest,
     "op12_centroids": op12_centroids,
+    "op13_lattice": op13_lattice,
 }
 ORACLES = {
     "op4_substrings": substrings.ORACLE,
