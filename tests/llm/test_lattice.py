@@ -104,12 +104,14 @@ def test_log_space_reaches_very_long_words(monkeypatch):
     found = lattice.Lattice(small(monkeypatch))
     log = found.log_probability(b"ab" * 30_000)
     assert math.isfinite(log) and log < -1000
-    assert math.isclose(sum(math.exp(found.log_probability(w)) for w in (b"ab",)), sum(
-        math.prod(math.exp(found.nodes[p][1]) for p in way) for way in segmentations(b" ab", {k: v for k, v in found.nodes.items() if v[0] >= 0})
-    ))
+    prob = {p: weight for p, (n, _, weight) in found.nodes.items() if n >= 0}
+    ways = sum(math.prod(prob[p] for p in way) for way in segmentations(b" ab", prob))
+    assert math.isclose(math.exp(found.log_probability(b"ab")), ways)
     used = found.expected(b"ab" * 50)
-    pieces = {n: p for p, (n, _) in found.nodes.items() if n >= 0}
+    pieces = {n: p for p, (n, *_) in found.nodes.items() if n >= 0}
     assert math.isclose(sum(len(pieces[n]) * k for n, k in used.items()), 101)  # the pieces cover the word
+    plain_, logs = found.expected(b"abab\xc3"), found._expected_log(b" abab\xc3")
+    assert plain_.keys() == logs.keys() and all(math.isclose(plain_[k], logs[k]) for k in logs)
 
 
 def test_probabilities_share_one(monkeypatch):

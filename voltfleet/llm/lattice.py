@@ -27,6 +27,7 @@ rows. Other columns are neither read nor returned.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,9 +43,10 @@ from .frames import fold, table
 SHIFT, PRIOR = 3, 32_000
 HOT, HOT_BYTES = 100_000, 64
 #: Distinct words, or pairs of word and document, that a task holds before it hands them on.
-HELD = 300_000
+HELD = 500_000
 #: Expected counts are added up in whole numbers of 1 / GRAIN.
 GRAIN = 1024
+SHORT = 32
 LOG10 = math.log(10)
 
 #: Pieces as bytes with natural logarithms of their probabilities; the end's comes last.
@@ -84,12 +86,12 @@ class Lattice:
 
     def __init__(self, weights: Weights):
         pieces, logs = weights
-        #: Piece or beginning of one -> (number, log probability); number -1 for mere beginnings.
-        self.nodes: dict[bytes, tuple[int, float]] = {}
+        #: Piece or beginning of one -> number, log probability, probability; number -1 for mere beginnings.
+        self.nodes: dict[bytes, tuple[int, float, float]] = {}
         for number, (piece, log) in enumerate(zip(pieces, logs.tolist())):
             for k in range(1, len(piece)):
-                self.nodes.setdefault(piece[:k], (-1, 0.0))
-            self.nodes[piece] = (number, log)
+                self.nodes.setdefault(piece[:k], (-1, 0.0, 0.0))
+            self.nodes[piece] = (number, log, math.exp(log))
 
     def forward(self, word: bytes) -> list[float]:
         """Log probability of everything before each place of the word, all ways together."""
@@ -114,8 +116,33 @@ class Lattice:
         return self.forward(b" " + word)[-1]
 
     def expected(self, word: bytes) -> dict[int, float]:
-        """How often each piece is used in the word, over all ways by their weight."""
+        """How often each piece is used in the word, over all ways by their weight.
+
+        Products of a few pieces are far from underflow: words of up to SHORT bytes are done
+        without logarithms.
+        """
         word = b" " + word
+        if len(word) > SHORT:
+            return self._expected_log(word)
+        nodes, size = self.nodes, len(word)
+        alpha, arcs, used = [1.0] + [0.0] * size, [], {}
+        for i in range(size):
+            before = alpha[i]
+            for j in range(i + 1, size + 1):
+                node = nodes.get(word[i:j])
+                if node is None:
+                    break
+                if node[0] >= 0:
+                    alpha[j] += before * node[2]
+                    arcs.append((i, j, node))
+        beta = [0.0] * size + [1 / alpha[size]]
+        for i, j, (number, _, weight) in reversed(arcs):
+            way = weight * beta[j]
+            beta[i] += way
+            used[number] = used.get(number, 0.0) + alpha[i] * way
+        return used
+
+    def _expected_log(self, word: bytes) -> dict[int, float]:
         nodes, size, alpha = self.nodes, len(word), self.forward(word)
         beta, used, total = [-math.inf] * size + [0.0], {}, alpha[-1]
         exp, log1p = math.exp, math.log1p
@@ -125,10 +152,9 @@ class Lattice:
                 node = nodes.get(word[i:j])
                 if node is None:
                     break
-                number, log = node
-                if number >= 0:
-                    way = log + beta[j]
-                    used[number] = used.get(number, 0.0) + exp(before + way)
+                if node[0] >= 0:
+                    way = node[1] + beta[j]
+                    used[node[0]] = used.get(node[0], 0.0) + exp(before + way)
                     if way > behind:
                         way, behind = behind, way
                     if way > -math.inf:
@@ -150,24 +176,22 @@ def word_table(docs: DataFrame, train: Column) -> DataFrame:
     """word, n (in all documents) and c (in those for training)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, learnt = Counter(), Counter()
+        learnt, other = Counter(), Counter()
 
         def out():
-            found = list(every)
-            columns = [pa.array(found, pa.binary()), pa.array([every[w] for w in found], pa.int64()), pa.array([learnt[w] for w in found], pa.int64())]
-            every.clear()
+            found = list(learnt.keys() | other.keys())
+            c = [learnt[w] for w in found]
+            n = [k + other[w] for k, w in zip(c, found)]
             learnt.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "n", "c"])
+            other.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(n, pa.int64()), pa.array(c, pa.int64())], ["word", "n", "c"])
 
         for batch in batches:
             for text, own in zip(_binary(batch["text"]), batch["train"].to_pylist(), strict=True):
-                found = words_of(text)
-                every.update(found)
-                if own:
-                    learnt.update(found)
-                if len(every) >= HELD:
+                (learnt if own else other).update(words_of(text))
+                if len(learnt) + len(other) >= HELD:
                     yield out()
-        if every:
+        if learnt or other:
             yield out()
 
     ship(docs.sparkSession)
@@ -220,40 +244,41 @@ def _split(docs: DataFrame, hot: dict[bytes, tuple[int, float]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words = {w: (c > 0, math.log10(c + 1), p) for w, (c, p) in sent.value.items()}
-        others: dict[bytes, tuple[list[int], list[int]]] = {}
-        held = 0
+        numbers: dict[bytes, int] = {}
+        owner, ids, counts = array("q"), array("q"), array("q")
 
         def pairs():
-            n = len(others)
-            none = [pa.nulls(n, t) for t in _DOC_TYPES]
-            ids, counts = pa.array([a for a, _ in others.values()], _LONGS), pa.array([b for _, b in others.values()], _LONGS)
-            return pa.RecordBatch.from_arrays([*none, pa.array(list(others), pa.binary()), ids, counts], _NAMES)
+            """One row a word: its documents and how often it is in each."""
+            own = np.frombuffer(owner, np.int64)
+            order = np.argsort(own, kind="stable")
+            edges = pa.array(np.searchsorted(own[order], np.arange(len(numbers) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(edges, pa.array(np.frombuffer(x, np.int64)[order])) for x in (ids, counts)]
+            none = [pa.nulls(len(numbers), t) for t in _DOC_TYPES]
+            return pa.RecordBatch.from_arrays([*none, pa.array(list(numbers), pa.binary()), *lists], _NAMES)
 
         for batch in batches:
             rows = []
             for rid, text in zip(batch["rid"].to_pylist(), _binary(batch["text"]), strict=True):
-                total = known = 0
-                base, score = [], []
-                for word, n in Counter(words_of(text)).items():
-                    total += n
+                found = words_of(text)
+                known, base, score = 0, [], []
+                for word, n in Counter(found).items():
                     entry = known_words.get(word)
-                    if entry is not None:
+                    if entry is None:
+                        owner.append(numbers.setdefault(word, len(numbers)))
+                        ids.append(rid)
+                        counts.append(n)
+                    else:
                         known += n * entry[0]
                         base.append(n * entry[1])
                         score.append(n * entry[2])
-                        continue
-                    ids, counts = others.setdefault(word, ([], []))
-                    ids.append(rid)
-                    counts.append(n)
-                    held += 1
-                rows.append((total + 1, known, math.fsum(base), math.fsum(score)))
-                if held >= HELD:
+                rows.append((len(found) + 1, known, math.fsum(base), math.fsum(score)))
+                if len(ids) >= HELD:
                     yield pairs()
-                    others, held = {}, 0
+                    numbers, owner, ids, counts = {}, array("q"), array("q"), array("q")
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), _DOC_TYPES[3:])]
             none = [pa.nulls(len(rows), t) for t in (pa.binary(), _LONGS, _LONGS)]
             yield pa.RecordBatch.from_arrays([batch["rid"], batch["doc_id"], batch["held_out"], *columns, *none], _NAMES)
-        if others:
+        if numbers:
             yield pairs()
 
     ship(docs.sparkSession)
