@@ -66,9 +66,13 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.cleaning_report(cleaning.stored(_stages(spark, sf_dir)), RUN_TIME)
 
 
-def _fill(strategy: str) -> Query:
+def _fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise(sample.fine(spark, sf_dir))
+
+
+def _fill(strategy: str, records: Query = _raw) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        unique = materialise(_unique(spark, sf_dir), "unique")
+        unique = materialise(dedup.deduplicate(records(spark, sf_dir)), "unique")
         filled = fill.fill_nulls(unique, {"default": strategy}, unique=True)
         return filled.select(*FIELDS, "speed", "battery_voltage", "soc")
 
@@ -256,6 +260,10 @@ def queries() -> dict[str, Query]:
         "latest_per_vehicle": lambda s, d: realtime.latest_metrics(_clean(s, d)),
         "pairwise_metrics": lambda s, d: realtime.pairwise_metrics(_clean(s, d), unique=True),
         "sliding_5s": lambda s, d: realtime.sliding_windows(_clean(s, d), unique=True),
+        "fine_daily": lambda s, d: metrics.daily_metrics(cleaning.clean(_fine(s, d))),
+        "fine_windows": lambda s, d: realtime.window_metrics(cleaning.clean(_fine(s, d))),
+        "fine_mean": _fill("mean", _fine),
+        "fine_profile": lambda s, d: reports.column_profile(_fine(s, d)),
         "sliding_30s": lambda s, d: realtime.sliding_windows(_clean(s, d), size=30, unique=True),
     }
     checks = {

@@ -1,8 +1,8 @@
 """The registered queries once more, as SQL for another engine (DuckDB).
 
 Written independently of the library: windows run over whole vehicles here, one
-statement per query. Only the number recipe is shared, because it defines the
-result: sums over whole thousandths, half-up rounding by ``floor``.
+statement per query. Sums of doubles are exact here, too, as 128-bit whole numbers, and rounded
+once; rounding is half up by ``floor``.
 """
 
 from __future__ import annotations
@@ -23,30 +23,29 @@ def r(x: str, n: int) -> str:
     return f"(floor(({x}) * 1e{n} + 5e-1) / 1e{n})"
 
 
-def fx(x: str) -> str:
-    return f"CAST(floor(({x}) * 1e3 + 5e-1) AS BIGINT)"
+def whole(x: str) -> str:
+    """A double as a whole number of 2 ** -80, 128 bits wide: sums of it are exact."""
+    return f"CAST(({x}) * 1208925819614629174706176e0 AS HUGEINT)"
+
+
+def joined(total: str) -> str:
+    return f"(CAST({total} AS DOUBLE) / 1208925819614629174706176e0)"
 
 
 def fsum(x: str) -> str:
-    return f"CAST(coalesce(sum({fx(x)}), 0) AS BIGINT)"
+    return joined(f"coalesce(sum({whole(x)}), 0)")
 
 
 def favg(x: str) -> str:
-    return f"(CAST(sum({fx(x)}) AS DOUBLE) / (CAST(count({x}) AS DOUBLE) * 1e3))"
+    return f"({joined(f'sum({whole(x)})')} / CAST(nullif(count({x}), 0) AS DOUBLE))"
 
 
 def fstd(x: str) -> str:
-    s1 = f"CAST(sum({fx(x)}) AS DOUBLE)"
-    s2 = f"CAST(sum(CAST({fx(x)} AS HUGEINT) * {fx(x)}) AS DOUBLE)"
-    n = f"CAST(count({x}) AS DOUBLE)"
-    return (
-        f"(CASE WHEN count({x}) > 1 THEN"
-        f" sqrt(greatest({s2} - {s1} * {s1} / {n}, 0e0) / ({n} - 1e0)) / 1e3 END)"
-    )
+    return f"stddev_samp({x})"
 
 
 def davg(x: str) -> str:
-    return f"(CAST(sum(CAST({x} AS DECIMAL(28,9))) AS DOUBLE) / CAST(count({x}) AS DOUBLE))"
+    return favg(f"CAST({x} AS DOUBLE)")
 
 
 def pct(part: str, whole: str) -> str:
@@ -79,6 +78,10 @@ SELECT event_id AS seq,
 FROM events
 """
 
+# The same records of a finer instrument.
+FINE = f"""SELECT * REPLACE (speed / 7e0 AS speed, battery_voltage * 3e0 / 7e0 + 2e2 AS battery_voltage,
+  battery_current / 7e4 AS battery_current) FROM ({TELEMETRY})"""
+
 STATUS = """
 CASE WHEN speed = 0 THEN 'idle' WHEN speed < 60 THEN 'normal' WHEN speed < 100 THEN 'fast' ELSE 'highway' END AS driving_status,
 CASE WHEN energy_consumption < 10 THEN 'A_excellent' WHEN energy_consumption < 15 THEN 'B_good' WHEN energy_consumption < 20 THEN 'C_average' ELSE 'D_poor' END AS energy_category,
@@ -147,7 +150,7 @@ CTES = {
         {pct("total_energy_kwh", "total_distance_km")} AS daily_energy_consumption,
         rapid AS rapid_acceleration_count,
         hot * {HOURS} AS high_temp_duration_hours,
-        driven / 1e3 * {HOURS} AS total_mileage_km,
+        driven * {HOURS} AS total_mileage_km,
         driving * {HOURS} AS driving_time_hours,
         charges AS charging_frequency,
         average_speed, max_speed, min_speed, speed_std,
@@ -155,10 +158,10 @@ CTES = {
         {r(pct("total_recovered_energy", "total_consumed_energy"), 2)} AS brake_energy_recovery_rate,
         {r(f"least(greatest(1e2 - hot * {HOURS} * 1e-1 - cycles * 1e-2, 0e0), 1e2)", 2)} AS battery_health_index,
         cycles AS soc_cycles
-        FROM (SELECT *, gross / 1e3 / 1e3 * {HOURS} AS total_energy_kwh,
-            dist / 1e3 * {HOURS} AS total_distance_km,
-            rec / 1e3 / 1e3 * {HOURS} AS total_recovered_energy,
-            con / 1e3 / 1e3 * {HOURS} AS total_consumed_energy FROM sums)""",
+        FROM (SELECT *, gross / 1e3 * {HOURS} AS total_energy_kwh,
+            dist * {HOURS} AS total_distance_km,
+            rec / 1e3 * {HOURS} AS total_recovered_energy,
+            con / 1e3 * {HOURS} AS total_consumed_energy FROM sums)""",
 }
 DEPENDS = {
     "telemetry": [],
@@ -311,10 +314,10 @@ def window_select(end: str, several: str = "true") -> str:
       CAST(n AS BIGINT) AS record_count,
       {r("l_bv * l_bc / 1e3", 2)} AS instantaneous_power,
       {ps("bt")} AS battery_temp_rate, {ps("mt")} AS motor_temp_rate,
-      {r("CAST(sp_sum AS DOUBLE) / (CAST(nullif(sp_n, 0) AS DOUBLE) * 1e3)", 2)} AS avg_speed,
+      {r(joined("sp_sum") + " / CAST(nullif(sp_n, 0) AS DOUBLE)", 2)} AS avg_speed,
       {r("sp_max", 2)} AS max_speed, {r("sp_min", 2)} AS min_speed,
       {ps("soc", "3.6e3")} AS soc_rate, l_soc AS latest_soc,
-      {r("CAST(e_sum AS DOUBLE) / 1e3 / 1e3 * 5e0 / 3.6e3", 4)} AS energy_consumed,
+      {r(joined("e_sum") + " / 1e3 * 5e0 / 3.6e3", 4)} AS energy_consumed,
       l_bt AS battery_temperature, l_mt AS motor_temperature,
       l_bv AS battery_voltage, l_bc AS battery_current"""
 
@@ -323,7 +326,7 @@ SHORT = {
     "ts": '"timestamp"', "bt": "battery_temperature", "mt": "motor_temperature",
     "soc": "soc", "bv": "battery_voltage", "bc": "battery_current",
 }
-GROSS = fx("battery_voltage * abs(battery_current)")
+GROSS = whole("battery_voltage * abs(battery_current)")
 
 
 def frames(table: str = "cleaned") -> str:
@@ -332,7 +335,7 @@ def frames(table: str = "cleaned") -> str:
     edges = [f"first_value({c}) {frame} AS f_{k}" for k, c in SHORT.items()]
     edges += [f"{c} AS l_{k}" for k, c in SHORT.items()]
     return f"""SELECT vehicle_id, seq, rn, {", ".join(edges)},
-      count(*) {frame} AS n, coalesce(sum({fx("speed")}) {frame}, 0) AS sp_sum,
+      count(*) {frame} AS n, coalesce(sum({whole("speed")}) {frame}, 0) AS sp_sum,
       count(speed) {frame} AS sp_n, max(speed) {frame} AS sp_max, min(speed) {frame} AS sp_min,
       coalesce(sum(CASE WHEN rn > 1 THEN {GROSS} END) {short}, 0) AS e_sum
       FROM (SELECT *, row_number() OVER ({VEHICLE}) AS rn FROM {table})"""
@@ -352,7 +355,7 @@ def sliding(size: int) -> str:
     run = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     inner = f"""SELECT vehicle_id, ws, {", ".join(edges)},
       row_number() OVER ({w}) AS n, count(*) OVER (PARTITION BY vehicle_id, ws) AS total,
-      coalesce(sum({fx("speed")}) {run}, 0) AS sp_sum, count(speed) {run} AS sp_n,
+      coalesce(sum({whole("speed")}) {run}, 0) AS sp_sum, count(speed) {run} AS sp_n,
       max(speed) {run} AS sp_max, min(speed) {run} AS sp_min,
       coalesce(sum({GROSS}) {run}, 0) - coalesce(first_value({GROSS}) OVER ({w}), 0) AS e_sum
       FROM (SELECT *, "timestamp" - to_seconds(CAST(i AS INTEGER)) AS ws
@@ -468,6 +471,10 @@ def fill(how: str) -> str:
     return q("uniq", f"SELECT {KEY3}, {', '.join(cols)} FROM uniq")
 
 
+def fine(sql: str) -> str:
+    return sql.replace(TELEMETRY, FINE)
+
+
 def oracles() -> dict[str, str]:
     report = {
         "completeness": q(
@@ -571,6 +578,10 @@ def oracles() -> dict[str, str]:
         "pairwise_metrics": PAIRS,
         "sliding_5s": sliding(5),
         "sliding_30s": sliding(30),
+        "fine_daily": fine(DAILY),
+        "fine_windows": fine(LAST100),
+        "fine_mean": fine(fill("mean")),
+        "fine_profile": fine(q("telemetry", PROFILE)),
     }
     top = "SELECT vehicle_id, count(*) AS record_count FROM cleaned GROUP BY vehicle_id"
     reports = {

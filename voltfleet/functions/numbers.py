@@ -1,16 +1,9 @@
-"""Number helpers shared by every operator: SQL text in, SQL text out.
-
-Sums of doubles depend on the order in which tasks finish. Signals carry at most
-three decimals (two as measured, a third after a median fill), so sums are taken
-over whole thousandths: exact, and the same after a retry or on another cluster.
-"""
+"""Number helpers shared by every operator: SQL text in, SQL text out. Sums are in ``exact``."""
 
 from __future__ import annotations
 
 import math
 
-FIXED_SCALE = "1000D"
-
 
 def half_up(value: str, digits: int) -> str:
     """Round half up; ``round`` on doubles goes through BigDecimal and is slower."""
@@ -18,48 +11,6 @@ def half_up(value: str, digits: int) -> str:
     return f"(CAST(floor(({value}) * {scale} + 0.5D) AS DOUBLE) / {scale})"
 
 
-def fixed(value: str) -> str:
-    """A double as a whole number of thousandths."""
-    return f"floor(({value}) * {FIXED_SCALE} + 0.5D)"
-
-
-def fixed_sum(value: str) -> str:
-    """Order-independent sum in thousandths; 0 where every value is null."""
-    return f"coalesce(sum({fixed(value)}), 0L)"
-
-
-def fixed_avg(value: str) -> str:
-    """Order-independent mean; null where every value is null."""
-    return (
-        f"try_divide(CAST(sum(CAST({fixed(value)} AS DECIMAL(19,0))) AS DOUBLE),"
-        f" CAST(count({value}) AS DOUBLE) * {FIXED_SCALE})"
-    )
-
-
-def fixed_stddev(value: str) -> str:
-    """Sample standard deviation from exact sums; null below two values.
-
-    Values are widened before they are squared: the square of one faulty reading, such as
-    4294967295, is beyond a BIGINT.
-    """
-    v = f"CAST({fixed(value)} AS DECIMAL(19,0))"
-    total = f"CAST(sum({v}) AS DOUBLE)"
-    squares = f"CAST(sum({v} * {v}) AS DOUBLE)"
-    n = f"CAST(count({value}) AS DOUBLE)"
-    spread = f"greatest({squares} - try_divide({total} * {total}, {n}), 0D)"
-    return (
-        f"CASE WHEN count({value}) > 1 THEN sqrt(try_divide({spread}, {n} - 1D)) / {FIXED_SCALE} END"
-    )
-
-
-def decimal_avg(value: str) -> str:
-    """Order-independent mean of doubles with many decimals, such as daily totals."""
-    return (
-        f"try_divide(CAST(sum(CAST({value} AS DECIMAL(28,9))) AS DOUBLE),"
-        f" CAST(count({value}) AS DOUBLE))"
-    )
-
-
 def percent(part: str, whole: str) -> str:
     """part / whole * 100, and 0 where there is nothing to divide by."""
     return f"CASE WHEN ({whole}) > 0 THEN try_divide(({part}) * 100D, ({whole}) * 1D) ELSE 0D END"

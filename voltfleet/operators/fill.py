@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltfleet.functions.numbers import fixed_avg, named
+from voltfleet.functions.exact import exact_avg
+from voltfleet.functions.numbers import named
 from voltfleet.operators.ordering import fill_along_time
 from voltfleet.operators.quantiles import exact_quantiles
 from voltfleet.schema import FIELDS, integer_columns, numeric_columns, with_date
@@ -52,7 +53,7 @@ def fill_plan(
     values = {c: v[0] for c, v in medians.items()}
     mean_of = [c for c, m in how.items() if m == "mean"]
     if mean_of:
-        values.update(df.selectExpr(*named({c: fixed_avg(c) for c in mean_of})).first().asDict())
+        values.update(df.selectExpr(*named({c: exact_avg(c, wide=True) for c in mean_of})).first().asDict())
     values.update({c: 0.0 for c, m in how.items() if m == "zero"})
     for c in whole & values.keys():
         values[c] = None if values[c] is None else int(values[c] // 1)

@@ -15,18 +15,8 @@ from pyspark.sql import functions as F
 
 from voltfleet.functions.clock import with_micros
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
-from voltfleet.functions.numbers import (
-    FIXED_SCALE,
-    fixed_avg,
-    fixed_stddev,
-    fixed_sum,
-    half_up,
-    named,
-    percent,
-    row,
-    rows,
-    text,
-)
+from voltfleet.functions.exact import exact_avg, exact_stddev, exact_sum, halves
+from voltfleet.functions.numbers import half_up, named, percent, row, rows, text
 from voltfleet.operators.ordering import CHUNK
 from voltfleet.schema import with_date
 from voltfleet.settings import DEFAULTS, Settings
@@ -69,28 +59,31 @@ def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
 def _daily_sums(df: DataFrame, cfg: Settings) -> DataFrame:
     """One row per vehicle and day: exact sums, and the day's first and last record."""
     chunk = "(PARTITION BY vehicle_id, date ORDER BY timestamp, seq)"
+    recovering = "battery_current < 0"
+    if not cfg.recovery_includes_charging:
+        recovering += " AND charging_status = 0"
+    watts = {
+        "gross": GROSS_WATTS,
+        "recovered": f"CASE WHEN {recovering} THEN abs({SIGNED_WATTS}) END",
+        "consumed": f"CASE WHEN battery_current > 0 THEN {SIGNED_WATTS} END",
+    }
     lagged = with_micros(df).selectExpr(
-        *["vehicle_id", "date", "battery_voltage", "battery_current", "battery_temperature"],
+        *["vehicle_id", "date", "battery_temperature", *named({**watts, **halves("speed", "speed")})],
         *_CHANGING,
         *named({f"prev_{c}": f"lag({c}) OVER {chunk}" for c in _CHANGING}),
         f"row_number() OVER {chunk} = 1 AS is_first",
         f"lead(1) OVER {chunk} IS NULL AS is_last",
     )
-    recovering = "battery_current < 0"
-    if not cfg.recovery_includes_charging:
-        recovering += " AND charging_status = 0"
     columns = {
-        "gross": fixed_sum(GROSS_WATTS),
-        "recovered": fixed_sum(f"CASE WHEN {recovering} THEN abs({SIGNED_WATTS}) END"),
-        "consumed": fixed_sum(f"CASE WHEN battery_current > 0 THEN {SIGNED_WATTS} END"),
-        "distance": fixed_sum("speed"),
-        "driven": fixed_sum("CASE WHEN speed > 0 THEN speed END"),
+        **{c: exact_sum(c) for c in watts},
+        "distance": exact_sum("speed"),
+        "driven": exact_sum("CASE WHEN speed > 0 THEN speed END"),
         "driving_records": "count_if(speed > 0)",
         "hot_records": f"count_if(battery_temperature > {cfg.high_temperature!r}D)",
-        "average_speed": half_up(fixed_avg("speed"), 2),
+        "average_speed": half_up(exact_avg("speed"), 2),
         "max_speed": half_up("max(speed)", 2),
         "min_speed": half_up("min(speed)", 2),
-        "speed_std": half_up(fixed_stddev("speed"), 2),
+        "speed_std": half_up(exact_stddev("speed", "speed"), 2),
         **{name: f"count_if({flag})" for name, flag in _events("", "prev_", cfg).items()},
         **{f"first_{c}": f"max(CASE WHEN is_first THEN {c} END)" for c in _CHANGING},
         **{f"last_{c}": f"max(CASE WHEN is_last THEN {c} END)" for c in _CHANGING},
@@ -112,8 +105,8 @@ def daily_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     overnight = _events("first_", "eve_", cfg)
 
     hours = f"{cfg.interval_hours!r}D"
-    kwh = lambda c: f"({c} / {FIXED_SCALE} / 1000D * {hours})"
-    km = lambda c: f"({c} / {FIXED_SCALE} * {hours})"
+    kwh = lambda c: f"({c} / 1000D * {hours})"
+    km = lambda c: f"({c} * {hours})"
     total = lambda e: f"({e} + CAST(coalesce({overnight[e]}, false) AS BIGINT))"
     hot_hours, cycles = f"(hot_records * {hours})", total("soc_cycle")
     columns = {

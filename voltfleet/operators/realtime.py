@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from voltfleet.functions.clock import MICROS, seconds_between, with_micros
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
-from voltfleet.functions.numbers import FIXED_SCALE, fixed, half_up, named, row
+from voltfleet.functions.exact import limb_sums, limbs, minus, total
+from voltfleet.functions.numbers import half_up, named, row
 from voltfleet.operators.ordering import in_blocks, order_key, with_position, with_previous
 from voltfleet.schema import with_date
 from voltfleet.settings import DEFAULTS, Settings
@@ -33,7 +34,7 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
     """The output of one window, from a row that holds
 
     ``first`` and ``last`` (its edge records), ``records``, ``speed_sum`` and
-    ``gross_sum`` in thousandths, ``speed_count``, ``speed_max``, ``speed_min``.
+    ``gross_sum`` as limbs, ``speed_count``, ``speed_max``, ``speed_min``.
     ``gross_sum`` covers every record but the first one. Rates are null unless
     ``several`` holds.
     """
@@ -43,8 +44,8 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
         value = half_up(f"(last.{c} - first.{c}) / {duration} * {factor}", 4)
         return f"CASE WHEN {several} THEN {value} END"
 
-    kwh = f"gross_sum / {FIXED_SCALE} / 1000D * {cfg.window_record_seconds}D / 3600D"
-    mean = f"try_divide(CAST(speed_sum AS DOUBLE), CAST(speed_count AS DOUBLE) * {FIXED_SCALE})"
+    kwh = f"{total('gross_sum')} / 1000D * {cfg.window_record_seconds}D / 3600D"
+    mean = f"try_divide({total('speed_sum')}, CAST(speed_count AS DOUBLE))"
     return {
         "window_duration": duration,
         "record_count": "CAST(records AS BIGINT)",
@@ -84,13 +85,13 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     w = "PARTITION BY vehicle_id, _block ORDER BY stretch, position"
     upto = f"OVER ({w} {so_far})"
     # The very first record of a vehicle opens no interval and carries no energy.
-    gross = f"CASE WHEN position > 0 THEN {fixed(GROSS_WATTS)} END"
+    gross = f"CASE WHEN position > 0 THEN {GROSS_WATTS} END"
     running = {
         "last": _ROW,
         "first": f"coalesce(lag({_ROW}, {n - 1}) OVER ({w}), first_value({_ROW}) {upto})",
-        "speeds": f"coalesce(sum({fixed('speed')}) {upto}, 0L)",
+        "speeds": limb_sums("speed", upto),
         "speed_n": f"count(speed) {upto}",
-        "grosses": f"coalesce(sum({gross}) {upto}, 0L)",
+        "grosses": limb_sums(gross, upto),
         "begun_max": f"max(speed) {begun}",
         "begun_min": f"min(speed) {begun}",
         "speed_max": f"lag(rest_max, {n - 1}) OVER ({w})",
@@ -100,11 +101,13 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
         "speed_max": "greatest(begun_max, speed_max)",
         "speed_min": "least(begun_min, speed_min)",
         "records": f"least(position + 1, {n}L)",
-        "speed_sum": f"speeds - coalesce(lag(speeds, {n}) OVER ({w}), 0L)",
+        "speed_sum": minus("speeds", "speeds_before"),
         "speed_count": f"speed_n - coalesce(lag(speed_n, {n}) OVER ({w}), 0L)",
-        "gross_sum": f"grosses - coalesce(lag(grosses, {n - 1}) OVER ({w}), 0L)",
+        "gross_sum": minus("grosses", "grosses_before"),
     }
+    before = {"speeds_before": f"lag(speeds, {n}) OVER ({w})", "grosses_before": f"lag(grosses, {n - 1}) OVER ({w})"}
     frames = blocks.selectExpr("vehicle_id", "position", "stretch", "_block", "_own", *named(running))
+    frames = frames.selectExpr("*", *named(before))
     kept = ["vehicle_id", "position", "_own", "first", "last"]
     frames = frames.selectExpr(*kept, *named(sums)).filter("_own AND position > 0")
     return frames.selectExpr(
@@ -118,14 +121,14 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
 # What one window needs besides its edge records.
 _SUMS = {
     "records": "count(*)",
-    "speed_sum": f"coalesce(sum({fixed('speed')}), 0L)",
+    "speed_sum": limb_sums("speed"),
     "speed_count": "count(speed)",
     "speed_max": "max(speed)",
     "speed_min": "min(speed)",
-    "gross_all": f"coalesce(sum({fixed(GROSS_WATTS)}), 0L)",
+    "gross_all": limb_sums(GROSS_WATTS),
 }
-_FIRST_GROSS = fixed("first.battery_voltage * abs(first.battery_current)")
-_GROSS_SUM = f"gross_all - coalesce({_FIRST_GROSS}, 0L) AS gross_sum"
+_FIRST_GROSS = f"{limbs('first.battery_voltage * abs(first.battery_current)')} AS first_gross"
+_GROSS_SUM = f"{minus('gross_all', 'first_gross')} AS gross_sum"
 
 
 def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -145,6 +148,7 @@ def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     per_vehicle = tail.groupBy("vehicle_id").agg(*[F.expr(e) for e in named({**edges, **_SUMS})])
     return (
         per_vehicle.filter("records > 1")
+        .selectExpr("*", _FIRST_GROSS)
         .selectExpr("*", _GROSS_SUM)
         .selectExpr(
             "last.timestamp AS window_end_time", "vehicle_id", *named(window_columns(cfg))
@@ -212,7 +216,8 @@ def _window_output(grouped: DataFrame, start: str, end: str, cfg: Settings) -> D
         first, last = (row({c: f"_{k}_{c}" for c in _EDGE}) for k in ("min", "max"))
         grouped = grouped.selectExpr("*", f"{first} AS first", f"{last} AS last")
     return (
-        grouped.selectExpr("*", _GROSS_SUM)
+        grouped.selectExpr("*", _FIRST_GROSS)
+        .selectExpr("*", _GROSS_SUM)
         .selectExpr(
             f"{start} AS window_start",
             f"{end} AS window_end_time",

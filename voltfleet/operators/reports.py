@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltfleet.functions.exact import exact_avg, exact_stddev, halves
 from voltfleet.functions.numbers import (
-    decimal_avg,
-    fixed_avg,
-    fixed_stddev,
     half_up,
     named,
     number,
@@ -33,45 +31,46 @@ def value_columns(table: DataFrame) -> list[str]:
     return numeric_columns(table, exclude=("vehicle_id", "date", "update_time", "metric_name"))
 
 
+def _mean(column: str) -> str:
+    return exact_avg(f"CAST({column} AS DOUBLE)")
+
+
 def _spread(column: str) -> dict[str, str]:
     return {
-        "mean": half_up(decimal_avg(column), 2),
+        "mean": half_up(_mean(column), 2),
         "min": half_up(f"CAST(min({column}) AS DOUBLE)", 2),
         "max": half_up(f"CAST(max({column}) AS DOUBLE)", 2),
     }
 
 
+def _by_column(df: DataFrame, columns: list[str], figures: dict[str, str]) -> DataFrame:
+    """One row of figures per column, out of aggregates over ``x``; also where there are no rows."""
+    pairs = [row({"column_name": text(c), "x": f"CAST({c} AS DOUBLE)"}) for c in columns]
+    values = df.selectExpr(rows(pairs)).selectExpr("*", *named(halves("x", "x")))
+    found = values.groupBy("column_name").agg(*[F.expr(e) for e in named(figures)])
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(found, "column_name", "left")
+
+
 def summary_statistics(wide: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Per metric and column: mean, std, min, max, median over all vehicle days."""
     columns = value_columns(wide)
     medians = exact_quantiles(wide, columns, [0.5])
-    figures = wide.selectExpr(
-        *named(
-            {
-                c: row(
-                    {
-                        **_spread(c),
-                        "std": half_up(f"stddev_samp({c})", 2),
-                        "median": half_up(number(medians[c][0]), 2),
-                    }
-                )
-                for c in columns
-            }
-        )
-    )
-    names = ("mean", "std", "min", "max", "median")
-    found = [
-        row({"metric": text(m), "column_name": text(c), **{k: f"`{c}`.`{k}`" for k in names}})
+    found = _by_column(wide, columns, {**_spread("x"), "std": half_up(exact_stddev("x", "x"), 2)})
+    owners = [
+        row({"metric": text(m), "column_name": text(c), "median": half_up(number(medians[c][0]), 2)})
         for m, own in METRIC_COLUMNS.items()
         for c in own
     ]
-    return figures.selectExpr(rows(found))
+    listed = wide.sparkSession.range(1).selectExpr(rows(owners))
+    names = ("metric", "column_name", "mean", "std", "min", "max", "median")
+    return listed.join(F.broadcast(found), "column_name").select(*names)
 
 
 def mean_by(table: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
     """Mean of metric columns per day or per vehicle (trend and distribution)."""
     columns = columns or value_columns(table)
-    return table.groupBy(key).agg(*[F.expr(e) for e in named({c: decimal_avg(c) for c in columns})])
+    return table.groupBy(key).agg(*[F.expr(e) for e in named({c: _mean(c) for c in columns})])
 
 
 def vehicle_summary(wide: DataFrame, first: int = 5) -> DataFrame:
@@ -94,7 +93,7 @@ def metric_cards(wide: DataFrame) -> DataFrame:
             {
                 "metric": text(name),
                 "column_name": text(c),
-                "value": half_up(decimal_avg(c), 2),
+                "value": half_up(_mean(c), 2),
                 "unit": text(METRIC_UNITS[name]),
             }
         )
@@ -153,21 +152,21 @@ def column_profile(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Per numeric column: count, mean, std, min, quartiles, max."""
     columns = [c for c in numeric_columns(df) if c in FIELDS]
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    found = [
-        row(
-            {
-                "column_name": text(c),
-                "value_count": f"count({c})",
-                "mean": half_up(fixed_avg(c), 4),
-                "std": half_up(fixed_stddev(c), 4),
-                "min": f"CAST(min({c}) AS DOUBLE)",
-                **{k: number(q) for k, q in zip(("q25", "q50", "q75"), quartiles[c])},
-                "max": f"CAST(max({c}) AS DOUBLE)",
-            }
-        )
+    figures = {
+        "value_count": "count(x)",
+        "mean": half_up(exact_avg("x", wide=True), 4),
+        "std": half_up(exact_stddev("x", "x", wide=True), 4),
+        "min": "min(x)",
+        "max": "max(x)",
+    }
+    found = _by_column(df, columns, figures)
+    known = [
+        row({"column_name": text(c), **{k: number(q) for k, q in zip(("q25", "q50", "q75"), quartiles[c])}})
         for c in columns
     ]
-    return df.selectExpr(f"array({', '.join(found)}) AS found").selectExpr("inline(found)")
+    known = df.sparkSession.range(1).selectExpr(rows(known))
+    names = ("column_name", "value_count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return known.join(F.broadcast(found.fillna(0, ["value_count"])), "column_name").select(*names)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ charging starts and charge jumps to work on, at any scale factor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltfleet.schema import with_date
 
@@ -39,6 +40,12 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TELEMETRY, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records of a finer instrument: values with as many decimals as a double holds."""
+    scaled = {"speed": "speed / 7e0", "battery_voltage": "battery_voltage * 3e0 / 7e0 + 2e2", "battery_current": "battery_current / 7e4"}
+    return telemetry(spark, sf_dir).withColumns({c: F.expr(e) for c, e in scaled.items()})
+
+
 def written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records whose times are text: with fractions, in ISO form, or unreadable."""
     rows = telemetry(spark, sf_dir)
