@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import replay  # noqa: E402
 from oracles import oracles  # noqa: E402
 from voltfleet.functions import derive  # noqa: E402
 from voltfleet.operators import dedup, fill, metrics, outliers, quality, realtime, reports  # noqa: E402
 from voltfleet.plans import cleaning, warehouse  # noqa: E402
 from voltfleet.schema import normalise  # noqa: E402
-from voltfleet.sources import feed, files, messages, sample  # noqa: E402
+from voltfleet.sources import files, messages, sample  # noqa: E402
 from voltfleet.sources.workspace import fresh_folder, materialise  # noqa: E402
-from voltfleet.streaming import jobs, stateful, windows  # noqa: E402
+from voltfleet.streaming import carried, jobs, windows  # noqa: E402
 
 try:  # the text operators and the pipeline may be left out of an installation
     import corpus_pipeline
@@ -70,6 +71,14 @@ def _fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(sample.fine(spark, sf_dir))
 
 
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise(sample.written(spark, sf_dir))
+
+
+def _written_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean(_written(spark, sf_dir))
+
+
 def _fill(strategy: str, records: Query = _raw) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         unique = materialise(dedup.deduplicate(records(spark, sf_dir)), "unique")
@@ -128,7 +137,7 @@ def _streamed(records: Query, job, updates: list[str] | None = None) -> Query:
         source = materialise(records(spark, sf_dir).drop("date"), "feed")
         inbox, outbox = fresh_folder(spark, "inbox"), fresh_folder(spark, "outbox")
         checkpoint = fresh_folder(spark, "checkpoint")
-        for _ in feed.play(source, inbox):
+        for _ in replay.play(source, inbox):
             stream = job(messages.decode(messages.read_topic(spark, inbox, "text")))
             run = jobs.run_to_table if updates is None else jobs.run_updates
             run(stream, outbox, checkpoint)
@@ -140,13 +149,13 @@ def _streamed(records: Query, job, updates: list[str] | None = None) -> Query:
 
 
 def _wall_clock(result: Query, *columns: str) -> Query:
-    """Stream times back to wall-clock stamps; bookkeeping columns left out."""
+    """Stream times back to wall-clock stamps."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = result(spark, sf_dir)
         for c in columns:
             df = df.withColumn(c, df[c].cast("timestamp_ntz"))
-        return df.drop("late_records")
+        return df
 
     return query
 
@@ -156,20 +165,58 @@ def _stream_derive(stream: DataFrame) -> DataFrame:
     return out.select(*FIELDS, *[c for c in out.columns if c not in stream.columns])
 
 
+#: Seconds that records wait for late ones: the longest that a slice of the played records lasts.
+SLICES = 3
+DELAYED = "seq % 10 = 0"
+
+
+def _carried(records: Query, job, late: str = "false", wait: bool = False, side: bool = False) -> Query:
+    """Play records back and run a vehicle operator over them, a run for every slice.
+
+    ``wait``: records wait as long as a slice lasts. ``side``: the records that came too late.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = materialise(records(spark, sf_dir).drop("date"), "feed")
+        inbox, checkpoint = fresh_folder(spark, "inbox"), fresh_folder(spark, "checkpoint")
+        delay = replay.width_of(source, SLICES) if wait else 0
+        run = job(fresh_folder(spark, "carried"), delay=delay)
+        for _ in replay.play(source, inbox, SLICES, late):
+            stream = messages.decode(messages.read_topic(spark, inbox, "text"), kind="timestamp_ntz")
+            jobs.run_carried(stream, run, checkpoint)
+        if wait:
+            run.flush(spark)
+        return run.late(spark) if side else run.results(spark)
+
+    return query
+
+
 def _stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in, window metrics out as messages, and those read back."""
     source = materialise(_clean(spark, sf_dir).drop("date"), "feed")
     inbox, outbox = fresh_folder(spark, "inbox"), fresh_folder(spark, "topic")
     checkpoint = fresh_folder(spark, "checkpoint")
-    for _ in feed.play(source, inbox):
-        run = jobs.start_realtime(
-            spark, inbox, outbox, checkpoint, fmt="text", available_now=True
-        )
+    for _ in replay.play(source, inbox):
+        run = jobs.start_realtime(spark, inbox, outbox, checkpoint, fmt="text", available_now=True)
         run.awaitTermination()
-    sent = messages.decode(spark.read.text(outbox), stateful.window_schema(text_time=True), time="window_end_time")
-    return sent.withColumn("window_end_time", sent["window_end_time"].cast("timestamp_ntz")).drop(
-        "late_records"
-    )
+    schema = messages.text_times(realtime.window_metrics(source.limit(0)).schema)
+    return messages.decode(spark.read.text(outbox), schema, time="window_end_time", kind="timestamp_ntz")
+
+
+def _letters(table: str) -> Query:
+    """Messages with broken ones among them, split into records and dead letters."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sent = sample.with_broken(messages.encode(sample.telemetry(spark, sf_dir)))
+        inbox, outbox = fresh_folder(spark, "inbox"), fresh_folder(spark, "letters")
+        checkpoint = fresh_folder(spark, "checkpoint")
+        for part in ("seq % 2 = 0", "seq % 2 = 1"):
+            sent.filter(part).select("value").write.mode("append").text(inbox)
+            jobs.run_letters(messages.read_topic(spark, inbox, "text"), outbox, checkpoint)
+        out = spark.read.parquet(f"{outbox}/{table}").drop("batch", "malformed")
+        return out.withColumn("timestamp", out["timestamp"].cast("timestamp_ntz")) if table == "records" else out
+
+    return query
 
 
 def _message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,9 +278,12 @@ def queries() -> dict[str, Query]:
         "derive_power": _derive_power,
         "speed_acceleration": _speed_acceleration,
         "dedup": _unique,
-        "written_times": lambda s, d: normalise(sample.written(s, d)),
-        "written_dedup": lambda s, d: dedup.deduplicate(normalise(sample.written(s, d))),
-        "written_duplicates": lambda s, d: dedup.duplicate_counts(normalise(sample.written(s, d))),
+        "written_times": _written,
+        "written_dedup": lambda s, d: dedup.deduplicate(_written(s, d)),
+        "written_duplicates": lambda s, d: dedup.duplicate_counts(_written(s, d)),
+        "written_ffill": _fill("ffill", _written),
+        "written_pairs": lambda s, d: realtime.pairwise_metrics(_written_clean(s, d), unique=True),
+        "written_windows": lambda s, d: realtime.window_metrics(_written_clean(s, d)),
         "ffill": _fill("ffill"),
         "bfill": _fill("bfill"),
         "fill_median": _fill("median"),
@@ -310,13 +360,14 @@ def queries() -> dict[str, Query]:
         ),
         "stream_derive": _wall_clock(_streamed(_unique, _stream_derive), "timestamp"),
         "stream_sliding": _streamed(_clean, windows.stream_sliding_windows, updates=key),
-        "stream_last100": _wall_clock(
-            _streamed(_clean, stateful.stream_window_metrics), "window_end_time"
-        ),
-        "stream_pairwise": _wall_clock(
-            _streamed(_clean, stateful.stream_pairwise_metrics), "timestamp"
-        ),
+        "stream_last100": _carried(_clean, carried.window_metrics),
+        "stream_pairwise": _carried(_clean, carried.pairwise_metrics),
+        "stream_late": _carried(_clean, carried.window_metrics, DELAYED, wait=True),
+        "stream_late_records": _carried(_clean, carried.window_metrics, DELAYED, side=True),
         "stream_roundtrip": _stream_roundtrip,
+        "stream_letters": _letters("records"),
+        "stream_dead_letters": _letters("dead"),
+        "written_stream": _carried(_written_clean, carried.window_metrics),
     }
     sinks = {
         "message_roundtrip": _message_roundtrip,

@@ -128,7 +128,7 @@ CTES = {
         FROM uniq""",
     "cleaned": f"SELECT {clipped_fields()} FROM filled",
     "changes": f"""SELECT *, CAST("timestamp" AS DATE) AS date,
-        (speed - lag(speed) OVER w) / (date_diff('second', lag("timestamp") OVER w, "timestamp") + 1e-3) AS accel,
+        (speed - lag(speed) OVER w) / ((epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w)) / 1e6 + 1e-3) AS accel,
         charging_status - lag(charging_status) OVER w AS d_status,
         abs(soc - lag(soc) OVER w) AS d_soc
         FROM cleaned WINDOW w AS ({VEHICLE})""",
@@ -305,7 +305,7 @@ def counters() -> str:
 
 def window_select(end: str, several: str = "true") -> str:
     """Columns of one window out of f_* (first), l_* (last) and its sums."""
-    dur = "coalesce(CAST(nullif(date_diff('second', f_ts, l_ts), 0) AS DOUBLE), 1e0)"
+    dur = "coalesce(nullif((epoch_us(l_ts) - epoch_us(f_ts)) / 1e6, 0), 1e0)"
 
     def ps(c: str, factor: str = "1e0") -> str:
         return f"CASE WHEN {several} THEN {r(f'(l_{c} - f_{c}) / {dur} * {factor}', 4)} END"
@@ -376,7 +376,8 @@ PAIRS = q(
       CASE WHEN dt > 0 THEN {r("d_bt / dt", 4)} END AS battery_temp_rate,
       CASE WHEN dt > 0 THEN {r("d_mt / dt", 4)} END AS motor_temp_rate,
       CASE WHEN dt > 0 THEN {r("d_soc / dt * 3.6e3", 4)} END AS soc_rate_per_hour
-      FROM (SELECT *, CAST(date_diff('second', lag("timestamp") OVER w, "timestamp") AS DOUBLE) AS dt,
+      FROM (SELECT *, CASE WHEN lag(seq) OVER w IS NOT NULL THEN
+        coalesce((epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w)) / 1e6, 5e0) END AS dt,
         battery_temperature - lag(battery_temperature) OVER w AS d_bt,
         motor_temperature - lag(motor_temperature) OVER w AS d_mt,
         soc - lag(soc) OVER w AS d_soc FROM cleaned WINDOW w AS ({VEHICLE}))""",
@@ -471,6 +472,35 @@ def fill(how: str) -> str:
     return q("uniq", f"SELECT {KEY3}, {', '.join(cols)} FROM uniq")
 
 
+PLACED = 'PARTITION BY vehicle_id ORDER BY place NULLS FIRST, "timestamp" IS NULL, seq'
+UNIQUE = 'QUALIFY row_number() OVER (PARTITION BY vehicle_id, "timestamp" ORDER BY seq) = 1'
+
+
+def with_unread(sql: str) -> str:
+    """The same over records some of whose times are unread: those stand behind the newest time read before them."""
+    written = f"""SELECT *, coalesce("timestamp", max("timestamp") OVER (PARTITION BY vehicle_id ORDER BY seq
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS place FROM (
+        SELECT * REPLACE (CASE WHEN seq % 97 <> 0 THEN "timestamp" + to_microseconds(100000 * (seq % 7)) END AS "timestamp")
+        FROM ({TELEMETRY}))"""
+    cleaned = CTES["cleaned"]
+    sql = sql.replace(TELEMETRY, written).replace(VEHICLE, PLACED).replace(UNIQUE, UNIQUE + ' OR "timestamp" IS NULL')
+    return sql.replace(cleaned, cleaned.replace(" FROM filled", ", place FROM filled"))
+
+
+def late_records() -> str:
+    """Every tenth record comes a third of all time late: late if a later one of its vehicle came in time."""
+    return q(
+        "cleaned",
+        f"""SELECT {ALL}, {DATED} FROM numbered d WHERE seq % 10 = 0 AND "timestamp" < (SELECT max("timestamp") FROM numbered n
+        WHERE n.vehicle_id = d.vehicle_id AND n.seq % 10 <> 0 AND n.slice <= d.slice)""",
+        span="""SELECT min("timestamp") AS lo, epoch_us(max("timestamp") - min("timestamp")) // 1000000 // 3 + 1 AS width FROM cleaned""",
+        numbered="""SELECT *, epoch_us("timestamp" - lo) // 1000000 // width AS slice FROM cleaned, span""",
+    )
+
+
+BROKEN = """CASE WHEN seq % 89 = 0 THEN concat('{"seq":', seq, ',"speed') ELSE concat('no record ', seq) END"""
+
+
 def fine(sql: str) -> str:
     return sql.replace(TELEMETRY, FINE)
 
@@ -578,6 +608,10 @@ def oracles() -> dict[str, str]:
         "pairwise_metrics": PAIRS,
         "sliding_5s": sliding(5),
         "sliding_30s": sliding(30),
+        # "default" covers every column with nulls, so the unread times are filled, too.
+        "written_ffill": with_unread(fill("ffill").replace(f"SELECT {KEY3}, last", 'SELECT seq, place AS "timestamp", vehicle_id, last')),
+        "written_pairs": with_unread(PAIRS),
+        "written_windows": with_unread(LAST100),
         "fine_daily": fine(DAILY),
         "fine_windows": fine(LAST100),
         "fine_mean": fine(fill("mean")),
@@ -644,7 +678,12 @@ def oracles() -> dict[str, str]:
         "stream_sliding": sliding(5),
         "stream_last100": LAST100,
         "stream_pairwise": PAIRS,
+        "stream_late": LAST100,
+        "stream_late_records": late_records(),
         "stream_roundtrip": LAST100,
+        "written_stream": with_unread(LAST100),
+        "stream_letters": q("telemetry", f"SELECT {ALL} FROM telemetry WHERE seq % 89 <> 0 AND seq % 97 <> 0"),
+        "stream_dead_letters": q("telemetry", f"SELECT {BROKEN} AS line FROM telemetry WHERE seq % 89 = 0 OR seq % 97 = 0"),
     }
     sinks = {
         "message_roundtrip": q("telemetry", f"SELECT {ALL} FROM telemetry"),

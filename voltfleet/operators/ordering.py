@@ -14,25 +14,76 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from voltfleet.sources.workspace import materialise
+
 CHUNK = ("vehicle_id", "date")
+#: Ingest numbers that are looked through together for the time before an unread one.
+PLACE_ROWS = 1_000_000
+
+
+def in_time(df: DataFrame) -> DataFrame:
+    """Give records whose time cannot be read a place: the newest time read before them.
+
+    "Before" is the ingest order ``seq`` of the same vehicle. Such a record stands behind those
+    read at that time, and before the first one if nothing was read yet. Where all times
+    are read, which costs a look at ``date``, the table is returned as it is; else it is written, and
+    ``place`` and ``day`` are added to order by. Only stretches of ``seq`` with such a record
+    are looked through, ``PLACE_ROWS`` numbers of one vehicle at a time.
+    """
+    if "place" in df.columns or df.filter("date IS NULL AND vehicle_id IS NOT NULL").isEmpty():
+        return df
+    df = materialise(df, "untimed").withColumn("_stretch", F.expr(f"seq div {PLACE_ROWS}"))
+    key = ["vehicle_id", "_stretch"]
+    touched = df.filter("timestamp IS NULL AND vehicle_id IS NOT NULL").select(*key).distinct()
+    vehicles = touched.select("vehicle_id").distinct()
+    upto = Window.partitionBy("vehicle_id").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    newest = df.join(vehicles, "vehicle_id", "left_semi").groupBy(*key).agg(F.max("timestamp").alias("_own"))
+    before = newest.select(*key, F.max("_own").over(upto).alias("_before"))
+    so_far = Window.partitionBy(*key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = df.join(touched, key, "left_semi").withColumn("_own", F.max("timestamp").over(so_far))
+    near = near.join(before, key).withColumn("place", F.coalesce("timestamp", F.greatest("_own", "_before")))
+    near = near.drop("_own", "_before")
+    rest = df.join(touched, key, "left_anti").withColumn("place", F.col("timestamp"))
+    placed = rest.unionByName(near).drop("_stretch")
+    return with_day(placed)
+
+
+def with_day(df: DataFrame) -> DataFrame:
+    """The day of ``place``; records before anything was read come before all days."""
+    return df.withColumn("day", F.coalesce(F.to_date("place"), F.lit("0001-01-01").cast("date")))
 
 
-def in_chunk() -> WindowSpec:
-    return Window.partitionBy(*CHUNK).orderBy("timestamp", "seq")
+def chunk_of(df: DataFrame) -> list[str]:
+    return ["vehicle_id", "day"] if "place" in df.columns else list(CHUNK)
 
 
-def across_chunks() -> WindowSpec:
+def sort_keys(df: DataFrame) -> list[str]:
+    """What orders the records of one vehicle."""
+    return ["place", "unread", "seq"] if "place" in df.columns else ["timestamp", "seq"]
+
+
+def with_sort_keys(df: DataFrame) -> DataFrame:
+    return df.withColumn("unread", F.col("timestamp").isNull()) if "place" in df.columns else df
+
+
+def in_chunk(df: DataFrame) -> WindowSpec:
+    return Window.partitionBy(*chunk_of(df)).orderBy(*sort_keys(df))
+
+
+def across_chunks(df: DataFrame) -> WindowSpec:
     """Over a table with one row per chunk: a vehicle's days in order."""
-    return Window.partitionBy("vehicle_id").orderBy("date")
+    return Window.partitionBy("vehicle_id").orderBy(chunk_of(df)[1])
 
 
-def order_key(unique: bool) -> str:
+def order_key(unique: bool, df: DataFrame | None = None) -> str:
     """What orders one vehicle's records, for ``max_by`` and ``min_by``.
 
     Where the time alone tells them apart (``unique``: deduplicated records) the key
-    is one number, and Spark aggregates by hash; with ``seq`` as a tie-break it is a
-    struct, for which it has to sort.
+    is one number, and Spark aggregates by hash; with ``seq`` as a tie-break, or with places
+    (``in_time``), it is a struct, for which it has to sort.
     """
+    if df is not None and "place" in df.columns:
+        return f"struct({', '.join(sort_keys(df))})"
     if unique:
         return "coalesce(timestamp, TIMESTAMP_NTZ '0001-01-01 00:00:00')"
     return "struct(timestamp, seq)"
@@ -42,20 +93,20 @@ def with_previous(
     df: DataFrame, columns: Sequence[str], name: str = "prev", unique: bool = False
 ) -> DataFrame:
     """Add a struct of ``columns`` taken from the vehicle's previous record, or null."""
-    order = order_key(unique)
+    names = df.columns
+    df = with_sort_keys(in_time(df))
+    order, chunk = order_key(unique, df), chunk_of(df)
     last_rows = (
-        df.groupBy(*CHUNK)
+        df.groupBy(*chunk)
         .agg(*[F.expr(f"max_by({c}, {order}) AS {c}") for c in columns])
-        .select(*CHUNK, F.struct(*columns).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(across_chunks()))
-        .select(*CHUNK, "_carry")
+        .select(*chunk, F.struct(*columns).alias("_last"))
+        .withColumn("_carry", F.lag("_last").over(across_chunks(df)))
+        .select(*chunk, "_carry")
     )
-    joined = df.join(last_rows, list(CHUNK), "left")
-    first = F.row_number().over(in_chunk()) == 1
-    previous = F.lag(F.struct(*columns)).over(in_chunk())
-    return joined.withColumn(
-        name, F.when(first, F.col("_carry")).otherwise(previous)
-    ).drop("_carry")
+    joined = df.join(last_rows, chunk, "left")
+    first = F.row_number().over(in_chunk(df)) == 1
+    previous = F.lag(F.struct(*columns)).over(in_chunk(df))
+    return joined.select(*names, F.when(first, F.col("_carry")).otherwise(previous).alias(name))
 
 
 TABLE_CHUNK_ROWS = 1_000_000
@@ -79,9 +130,11 @@ def fill_along_time(
         return df
     columns = df.columns
     if scope == "vehicle":
-        chunk, order, days = list(CHUNK), order_key(unique), across_chunks()
-        rows = Window.partitionBy(*CHUNK)
-        up, down = ["timestamp", "seq"], [F.desc("timestamp"), F.desc("seq")]
+        df = with_sort_keys(in_time(df))
+        chunk, order, days = chunk_of(df), order_key(unique, df), across_chunks(df)
+        rows = Window.partitionBy(*chunk)
+        up = sort_keys(df)
+        down = [F.desc(c) for c in up]
     elif scope == "table":
         chunk, order = ["_range"], "seq"
         df = df.withColumn("_range", F.floor(F.col("seq") / TABLE_CHUNK_ROWS))
@@ -122,19 +175,19 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
 
     Every record needs a vehicle.
     """
-    before = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
+    names = df.columns
+    df = with_sort_keys(in_time(df))
+    chunk = chunk_of(df)
+    before = across_chunks(df).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*CHUNK)
+        df.groupBy(*chunk)
         .agg(F.count("*").alias("_n"))
-        .select(*CHUNK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select(*chunk, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     # Rows without a date match no offset; they sort first within their vehicle.
     start = F.coalesce(F.col("_offset"), F.lit(0))
-    return (
-        df.join(offsets, list(CHUNK), "left")
-        .withColumn(name, start + F.row_number().over(in_chunk()) - 1)
-        .drop("_offset")
-    )
+    position = (start + F.row_number().over(in_chunk(df)) - 1).alias(name)
+    return df.join(offsets, chunk, "left").select(*names, position)
 
 
 def in_blocks(df: DataFrame, reach: int, block_rows: int, position: str = "position") -> DataFrame:

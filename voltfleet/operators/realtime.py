@@ -9,7 +9,15 @@ from voltfleet.functions.clock import MICROS, seconds_between, with_micros
 from voltfleet.functions.derive import GROSS_WATTS, SIGNED_WATTS, acceleration
 from voltfleet.functions.exact import limb_sums, limbs, minus, total
 from voltfleet.functions.numbers import half_up, named, row
-from voltfleet.operators.ordering import in_blocks, order_key, with_position, with_previous
+from voltfleet.operators.ordering import (
+    in_blocks,
+    in_time,
+    order_key,
+    sort_keys,
+    with_position,
+    with_previous,
+    with_sort_keys,
+)
 from voltfleet.schema import with_date
 from voltfleet.settings import DEFAULTS, Settings
 
@@ -62,9 +70,11 @@ def window_columns(cfg: Settings, several: str = "true") -> dict[str, str]:
     }
 
 
-def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS, fresh: str | None = None) -> DataFrame:
     """Per record, from each vehicle's second one on: metrics of its last 100 records.
 
+    With ``fresh``, a boolean column, only records that have it true are reported on.
+
     Histories are cut into bounded blocks (``in_blocks``). A record costs the same
     however long the window is: sums are differences of running sums, and with stretches
     as long as the window, its max is the larger one of the max so far in the stretch of
@@ -72,7 +82,9 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """
     n = cfg.window_records
     known = with_micros(with_date(df)).filter("vehicle_id IS NOT NULL")
-    placed = with_position(known.select("vehicle_id", "date", *_RECORD))
+    known = known.withColumn("fresh", F.col(fresh) if fresh else F.lit(True))
+    order = [c for c in ("place", "day") if c in df.columns]
+    placed = with_position(known.select("vehicle_id", "date", "fresh", *order, *_RECORD)).drop(*order)
     blocks = in_blocks(placed, reach=n - 1, block_rows=cfg.block_rows)
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     stretch = "PARTITION BY vehicle_id, _block, stretch ORDER BY position"
@@ -106,7 +118,7 @@ def window_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
         "gross_sum": minus("grosses", "grosses_before"),
     }
     before = {"speeds_before": f"lag(speeds, {n}) OVER ({w})", "grosses_before": f"lag(grosses, {n - 1}) OVER ({w})"}
-    frames = blocks.selectExpr("vehicle_id", "position", "stretch", "_block", "_own", *named(running))
+    frames = blocks.selectExpr("vehicle_id", "position", "stretch", "_block", "_own AND fresh AS _own", *named(running))
     frames = frames.selectExpr("*", *named(before))
     kept = ["vehicle_id", "position", "_own", "first", "last"]
     frames = frames.selectExpr(*kept, *named(sums)).filter("_own AND position > 0")
@@ -136,11 +148,12 @@ def latest_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
 
     The cut to 100 records per vehicle happens before the shuffle already.
     """
-    newest = Window.partitionBy("vehicle_id").orderBy(F.desc("timestamp"), F.desc("seq"))
+    df = with_sort_keys(in_time(with_date(df)))
+    newest = Window.partitionBy("vehicle_id").orderBy(*[F.desc(c) for c in sort_keys(df)])
     tail = (
         with_micros(df)
         .filter("vehicle_id IS NOT NULL")
-        .select("vehicle_id", *_RECORD)
+        .select("vehicle_id", *dict.fromkeys([*_RECORD, *sort_keys(df)]))
         .withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") <= cfg.window_records)
     )
@@ -183,14 +196,16 @@ def pairwise_columns(cfg: Settings = DEFAULTS) -> dict[str, str]:
 
 
 def pairwise_metrics(
-    df: DataFrame, cfg: Settings = DEFAULTS, unique: bool = False
+    df: DataFrame, cfg: Settings = DEFAULTS, unique: bool = False, fresh: str | None = None
 ) -> DataFrame:
     """Per record: power, and rates against the vehicle's previous record.
 
-    ``unique`` tells that the records are deduplicated, here and below.
+    ``unique`` tells that the records are deduplicated, here and below. ``fresh``: as above.
     """
-    df = with_micros(with_date(df)).select("vehicle_id", "date", *_RECORD)
-    return with_previous(df, PAIR_FIELDS, unique=unique).selectExpr(*named(pairwise_columns(cfg)))
+    order = [c for c in ("place", "day", fresh) if c in df.columns]
+    df = with_micros(with_date(df)).select("vehicle_id", "date", *order, *_RECORD)
+    paired = with_previous(df, PAIR_FIELDS, unique=unique)
+    return (paired.filter(fresh) if fresh else paired).selectExpr(*named(pairwise_columns(cfg)))
 
 
 def speed_acceleration(df: DataFrame, unique: bool = False) -> DataFrame:

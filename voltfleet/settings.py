@@ -68,6 +68,7 @@ class Settings:
     consumer_group: str = "realtime-metrics"
     starting_offsets: str = "latest"
     records_per_trigger: int = 10_000_000  # bound of one micro-batch read from a topic
+    files_per_trigger: int = 10_000  # the same for a folder
 
     # Scale knobs; none of them changes a result.
     block_rows: int = 8192  # rows of one vehicle handled together by row frames

@@ -18,6 +18,13 @@ def encode(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
     return df.select(F.col(key).alias("key"), F.to_json(F.struct(*fields)).alias("value"))
 
 
+def text_times(schema: T.StructType) -> T.StructType:
+    """The schema of rows as messages: times are text there."""
+    kinds = (T.TimestampType, T.TimestampNTZType)
+    text = lambda f: T.StructField(f.name, T.StringType()) if isinstance(f.dataType, kinds) else f
+    return T.StructType([text(f) for f in schema.fields])
+
+
 def envelope(messages: DataFrame, topic: str, sent_at_ms: int) -> DataFrame:
     """The message with its topic and send time, as a queue stores it."""
     return messages.select(
@@ -33,20 +40,23 @@ def decode(
     schema: T.StructType = RAW_SCHEMA_WITH_SEQ,
     keep_malformed: bool = False,
     time: str = "timestamp",
+    kind: str = "timestamp",
 ) -> DataFrame:
-    """Messages back to rows; their ``time`` becomes a TIMESTAMP for watermarks.
+    """Messages back to rows; their ``time`` becomes a TIMESTAMP for watermarks, or of another ``kind``.
 
-    What is no valid record is dropped, or kept as text in ``malformed``.
+    Messages may lack fields of the schema, such as ``seq``, which are null then. What is no
+    valid record is dropped, or kept as it came in ``line`` with the reason's text in ``malformed``.
     """
     fields = T.StructType([*schema.fields, T.StructField("malformed", T.StringType())])
     parsed = F.from_json(
         F.col("value").cast("string"), fields, {"columnNameOfCorruptRecord": "malformed"}
     )
-    rows = messages.select(parsed.alias("r")).select("r.*")
-    rows = rows.withColumn(time, F.col(time).try_cast("timestamp"))
+    line = F.col("value").cast("string").alias("line")
+    rows = messages.select(parsed.alias("r"), line).select("r.*", "line")
+    rows = rows.withColumn(time, F.col(time).try_cast(kind))
     if keep_malformed:
         return rows
-    return rows.filter("malformed IS NULL AND vehicle_id IS NOT NULL").drop("malformed")
+    return rows.filter("malformed IS NULL AND vehicle_id IS NOT NULL").drop("malformed", "line")
 
 
 def read_topic(
@@ -61,7 +71,7 @@ def read_topic(
 
     ``fmt="kafka"`` needs the Kafka package on the cluster; ``fmt="text"`` watches a
     folder of JSON lines. ``per_trigger`` bounds one micro-batch: records of a topic,
-    files of a folder.
+    files of a folder, ``files_per_trigger`` by default.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
@@ -72,8 +82,7 @@ def read_topic(
             .option("groupIdPrefix", cfg.consumer_group)
         )
         return reader.load().selectExpr("CAST(value AS STRING) AS value")
-    if per_trigger:
-        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    reader = reader.option("maxFilesPerTrigger", per_trigger or cfg.files_per_trigger)
     return reader.load(topic_or_path)
 
 

@@ -56,3 +56,11 @@ def written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date(telemetry(spark, sf_dir))
+
+
+def with_broken(messages: DataFrame) -> DataFrame:
+    """Messages, some of them cut off or no JSON at all; ``seq`` tells which record each was."""
+    seq = "CAST(get_json_object(value, '$.seq') AS BIGINT)"
+    broken = """CASE WHEN seq % 89 = 0 THEN concat('{"seq":', seq, ',"speed') WHEN seq % 97 = 0 THEN concat('no record ', seq)
+        ELSE value END"""
+    return messages.selectExpr("key", "value", f"{seq} AS seq").selectExpr("key", f"{broken} AS value", "seq")

@@ -39,3 +39,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, on any file system Spark reads; none if there is no such folder."""
+    system, folder = _path(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    system, folder = _path(spark, path)
+    system.delete(folder, True)
