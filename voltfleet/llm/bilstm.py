@@ -86,42 +86,41 @@ class Tagger:
         }
 
     def emissions(self, chars: np.ndarray) -> np.ndarray:
-        """Scores of every tag at every character: rows lie along the last axis while states are run."""
+        """Scores of (tag, row, step): rows lie along the last axis while states are run."""
         w, size = self.w, self.hidden
         rows, steps = chars.shape
         out = np.empty((steps, self.tags, rows), np.float32)
         out[:] = w["bias"][:, None]
-        line = np.ascontiguousarray(chars.T)
-        # A gate is 1 / (1 + exp(-z)); a tanh is twice that of the double input, less one.
-        turn = np.where(np.arange(4 * size) < 3 * size, -1, -2).astype(np.float32)
+        line = np.ascontiguousarray(chars.T).astype(np.intp)
+        # A gate is 1 / (1 + exp(-z)): the sign is turned in the weights.
+        turn = np.where(np.arange(4 * size) < 3 * size, -1, 1).astype(np.float32)
         for x, u, proj, order in (
             (w["xf"], w["uf"], w["out"][:size], range(steps)),
             (w["xb"], w["ub"], w["out"][size:], range(steps - 1, -1, -1)),
         ):
             x, u, proj = np.ascontiguousarray((x * turn).T), np.ascontiguousarray((u * turn).T), np.ascontiguousarray(proj.T)
             h, c = np.zeros((size, rows), np.float32), np.zeros((size, rows), np.float32)
-            z = np.empty((4 * size, rows), np.float32)
+            z, own = np.empty((4 * size, rows), np.float32), np.empty((4 * size, rows), np.float32)
+            gates, g = z[: 3 * size], z[3 * size :]
+            i, f, o = gates[:size], gates[size : 2 * size], gates[2 * size :]
+            score = np.empty((self.tags, rows), np.float32)
             with np.errstate(over="ignore"):
                 for t in order:
                     np.matmul(u, h, out=z)
-                    z += x.take(line[t], axis=1)
-                    np.exp(z, out=z)
-                    z += 1
-                    np.divide(1, z, out=z)
-                    c *= z[size : 2 * size]
-                    g = z[3 * size :]
-                    g *= 2
-                    g -= 1
-                    g *= z[:size]
+                    np.take(x, line[t], axis=1, out=own, mode="clip")
+                    z += own
+                    np.exp(gates, out=gates)
+                    gates += 1
+                    np.reciprocal(gates, out=gates)
+                    np.tanh(g, out=g)
+                    c *= f
+                    g *= i
                     c += g
-                    np.multiply(c, -2, out=h)
-                    np.exp(h, out=h)
-                    h += 1
-                    np.divide(2, h, out=h)
-                    h -= 1
-                    h *= z[2 * size : 3 * size]
-                    out[t] += proj @ h
-        return out.transpose(2, 0, 1)
+                    np.tanh(c, out=h)
+                    h *= o
+                    np.matmul(proj, h, out=score)
+                    out[t] += score
+        return out.transpose(1, 2, 0)
 
     def _gradients(self, chars: np.ndarray, gold: np.ndarray) -> dict[str, np.ndarray]:
         w, grads = self.w, {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -171,13 +170,24 @@ class Tagger:
     def decode(self, emissions: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Best tags of padded rows of emissions; tags behind a row's size are 0."""
         rows, steps, k = emissions.shape
-        trans = self.w["trans"] + self.barred
-        score, ways = emissions[:, 0].copy(), np.zeros((rows, steps, k), np.int8)
+        trans = (self.w["trans"] + self.barred).astype(np.float32)
+        # Rows lie along the last axis; of a tag only those that may come before it are compared.
+        before = [np.flatnonzero(self.barred[:, tag] == 0) for tag in range(k)]
+        line = np.ascontiguousarray(emissions.transpose(1, 2, 0))
+        score, ways = line[0].copy(), np.zeros((rows, steps, k), np.int8)
+        after = np.empty_like(score)
         for t in range(1, steps):
-            paths = score[:, :, None] + trans
-            ways[:, t] = paths.argmax(axis=1)
-            after = paths.max(axis=1) + emissions[:, t]
-            score = np.where((t < sizes)[:, None], after, score)
+            for tag in range(k):
+                came = before[tag]
+                best, way = score[came[0]] + trans[came[0], tag], np.full(rows, came[0], np.int8)
+                for tag_before in came[1:]:
+                    other = score[tag_before] + trans[tag_before, tag]
+                    way[other > best] = tag_before
+                    np.maximum(best, other, out=best)
+                ways[:, t, tag] = way
+                np.add(best, line[t, tag], out=after[tag])
+            score = np.where(t < sizes, after, score)
+        score = score.T
         tags, now = np.zeros((rows, steps), np.int64), score.argmax(axis=1)
         for t in range(steps - 1, -1, -1):
             inside = t < sizes
@@ -185,38 +195,42 @@ class Tagger:
             now = np.where(inside & (t > 0), ways[np.arange(rows), t, now], now)
         return tags
 
-    def best_path(self, scores: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Best tags of rows that lie one after the other in scores; 0 between them.
+    def best_path(self, scores: np.ndarray, first: np.ndarray, sizes: np.ndarray, margin: float = 0.0) -> np.ndarray:
+        """Best tags of rows that lie one after the other in scores (tag, place); 0 between them.
 
-        Where even the best stretch of other tags around a character loses against tag 0, every
-        best path has tag 0. Only what lies between such characters is decoded step by step.
+        Where even the best stretch of other tags around a character beats tag 0 by less than
+        ``margin``, every best path has tag 0 or a stretch that is to be dropped. Only what lies
+        between such characters is decoded step by step.
         """
         trans = self.w["trans"].astype(np.float64) + self.barred
-        inside = np.zeros(len(scores) + 1, np.int64)
+        places = scores.shape[1]
+        inside = np.zeros(places + 1, np.int64)
         np.add.at(inside, first, 1)
         np.add.at(inside, first + sizes, -1)
         inside = np.cumsum(inside[:-1]) > 0
         rest = trans[0, 0]
         within, enter, leave = trans[1:, 1:].max() - rest, trans[0, 1:].max() - rest, trans[1:, 0].max() - rest
-        gain = np.where(inside, scores[:, 1:].max(axis=1).astype(np.float64) - scores[:, 0] + within, -1e6)
+        gain = np.where(inside, scores[1:].max(axis=0).astype(np.float64) - scores[0] + within, -1e6)
+        # A stretch at a row's edge has nothing to enter from, or to leave to.
+        gain[first] += max(0.0, -enter)
+        gain[(first + sizes - 1)[sizes > 0]] += max(0.0, -leave)
         total = np.cumsum(gain)
         until = total - np.minimum.accumulate(np.append(0.0, total[:-1]))
         onward = np.maximum.accumulate(total[::-1])[::-1] - (total - gain)
-        ends = max(enter, -rest, 0.0) + max(leave, -rest, 0.0) + abs(within) + abs(rest)
-        open_ = inside & (until + onward - gain + ends > -1e-2)
+        open_ = inside & (until + onward - gain + enter + leave - within > margin - 1e-2)
         edge = np.diff(np.concatenate([[0], open_.astype(np.int8), [0]]))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         # Two rows never touch: a place outside both lies between them.
-        opens, closes = np.zeros(len(scores) + 1, bool), np.zeros(len(scores) + 1, bool)
+        opens, closes = np.zeros(places + 1, bool), np.zeros(places + 1, bool)
         opens[first], closes[first + sizes] = True, True
-        tags, length = np.zeros(len(scores), np.int64), end - start
+        tags, length = np.zeros(places, np.int64), end - start
         order = np.argsort(length, kind="stable")
         while len(order):
             longest = int(length[order[-1]])
             part = order[length[order] * 2 > longest][-max(1, 65536 // longest) :]
             order = order[: len(order) - len(part)]
             at = start[part, None] + np.arange(longest)
-            own = scores[np.minimum(at, len(scores) - 1)]
+            own = scores[:, np.minimum(at, places - 1)].transpose(1, 2, 0)
             rows = np.arange(len(part))
             own[:, 0] += np.where(opens[start[part]][:, None], 0, trans[0])
             own[rows, length[part] - 1] += np.where(closes[end[part]][:, None], 0, trans[:, 0])

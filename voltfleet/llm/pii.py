@@ -5,9 +5,10 @@ on spans labelled by the patterns in a bounded sample of documents, on such span
 changed spellings, and on spans made up by rule, all set among the corpus's own prose. It
 adds spans that touch no base span: other spellings of the same kinds.
 
-Decoding goes over all windows of ``WINDOW`` characters, ``STRIDE`` apart, of the whole text.
-Scores of neighbouring windows are blended, each weighted by the distance to its window's
-edge, and one best path is sought over the whole text: no span breaks at a window's edge.
+Decoding goes over all windows of ``WINDOW`` characters, ``BLOCK`` of them shared with the next one,
+of the whole text. Scores of neighbouring windows are blended, each weighted by the distance to its
+window's edge, and one best path is sought over the whole text: no span breaks at a window's edge.
+A stretch of tagged characters stays if its path is ``MARGIN`` better, as log odds, than leaving it out.
 
 Null and empty texts have no spans; repeated rows get equal results; other columns are not
 read. The sample holds ``SAMPLE`` ids, ``SAMPLE_CHARS`` characters from all over each; of rows with one
@@ -16,6 +17,7 @@ id the least text counts.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -29,12 +31,16 @@ from .fmindex import with_texts
 from .frames import cut, per_batch, table, texts
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE = 64, 32
+BLOCK, BLOCKS = 32, 8
+WINDOW, STRIDE = BLOCK * BLOCKS, BLOCK * (BLOCKS - 1)
+#: Length of the training windows, size of the states: see the README for the recall by size.
+TRAIN_WINDOW, HIDDEN = 64, 12
+MARGIN = 3.0
 SAMPLE, SAMPLE_CHARS, TRAIN_ROWS = 2000, 8000, 6000
-#: Windows whose best paths are sought together.
-GROUP = 4096
+#: Characters whose best paths are sought together.
+GROUP = 1 << 17
 #: Share of the training windows that hold nothing but prose.
-PLAIN = 0.2
+PLAIN = 0.35
 #: Tags: outside, then first and further characters of each kind.
 TAGS = 1 + 2 * len(KINDS)
 
@@ -120,24 +126,39 @@ def _unrelated(rng: np.random.Generator, names: list[str]) -> str:
     return (digits(rng.integers(1, 6)), f"{digits(1)}.{digits(1)}", f"{digits(1)}.{digits(2)}.{digits(1)}", f"20{digits(2)}-0{digits(1)}-1{digits(1)}", hexes, upper, f"{digits(2)}:{digits(2)}", f"{digits(1)},{digits(3)}", digits(rng.integers(6, 12)))[rng.integers(9)]
 
 
+def _varied(rng: np.random.Generator, prose: str) -> str:
+    """The same prose with full stops, capitals and dots at some of its words; as long as before."""
+    out = list(prose)
+    for k in range(1, len(out) - 1):
+        if out[k] == " " and rng.random() < 0.25:
+            pick = rng.integers(3)
+            if pick == 0 and out[k - 1].isalpha():
+                out[k - 1] = ".,;:!?"[rng.integers(6)]
+            elif pick == 1:
+                out[k + 1] = out[k + 1].upper()[:1] or out[k + 1]
+            elif out[k - 1].isalpha() and out[k + 1].isalpha():
+                out[k] = "."
+    return "".join(out)
+
+
 def training_rows(sample: list[str], count: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the sample's prose with spans set in, and their tags."""
     rng = np.random.default_rng(seed)
     prose, real, names = [], [], set()
     for text in sample:
         spans = base_spans(text)
-        real += [(k, text[a:b]) for k, a, b in spans if b - a < WINDOW]
-        if not _MARK.search(text) and len(text) > 2 * WINDOW:
+        real += [(k, text[a:b]) for k, a, b in spans if b - a < TRAIN_WINDOW]
+        if not _MARK.search(text) and len(text) > 2 * TRAIN_WINDOW:
             prose.append(text)
         names.update(w.lower() for w in text.split()[:20] if w.isascii() and w.isalpha() and 2 < len(w) < 12)
     prose = prose or ["a plain line of words without any marks in it " * 4]
     names = sorted(names) or ["name", "mail", "host"]
-    chars, tags = np.full((count, WINDOW), PAD, np.int64), np.zeros((count, WINDOW), np.int64)
+    chars, tags = np.full((count, TRAIN_WINDOW), PAD, np.int64), np.zeros((count, TRAIN_WINDOW), np.int64)
     for row in range(count):
         source = prose[rng.integers(len(prose))]
-        at = int(rng.integers(0, max(1, len(source) - 2 * WINDOW)))
+        at = int(rng.integers(0, max(1, len(source) - 2 * TRAIN_WINDOW)))
         if rng.random() < PLAIN:
-            chars[row] = numbers(source[at : at + WINDOW])
+            chars[row] = numbers(_varied(rng, source[at : at + TRAIN_WINDOW]))
             continue
         parts, marks = [], []
         for _ in range(int(rng.integers(1, 4))):
@@ -160,8 +181,8 @@ def training_rows(sample: list[str], count: int, seed: int = 5) -> tuple[np.ndar
             parts.append(tail)
             marks.append([0] * len(tail))
         text, mark = "".join(parts), sum(marks, [])
-        shift = int(rng.integers(0, max(1, len(text) - WINDOW // 2)))
-        code, mark = numbers(text)[shift : shift + WINDOW], np.array(mark[shift : shift + WINDOW], np.int64)
+        shift = int(rng.integers(0, max(1, len(text) - TRAIN_WINDOW // 2)))
+        code, mark = numbers(text)[shift : shift + TRAIN_WINDOW], np.array(mark[shift : shift + TRAIN_WINDOW], np.int64)
         # A span that the window cuts begins with a first tag all the same.
         if len(mark) and mark[0] and mark[0] % 2 == 0:
             mark[0] -= 1
@@ -179,7 +200,7 @@ def _allowed() -> np.ndarray:
 
 
 def train(sample: list[str], steps: int = 220) -> Tagger:
-    model = Tagger(TAGS, _allowed())
+    model = Tagger(TAGS, _allowed(), HIDDEN)
     model.fit(*training_rows(sample, TRAIN_ROWS), steps=steps)
     return model
 
@@ -200,7 +221,7 @@ def train_on(docs: DataFrame) -> Tagger:
     return train([r["text"] for r in rows])
 
 
-_EDGE = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+_EDGE = np.minimum(np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)), BLOCK).astype(np.float32)
 
 
 def model_spans(found: list[str], model: Tagger) -> list[list[tuple[int, int, int]]]:
@@ -214,7 +235,7 @@ def model_spans(found: list[str], model: Tagger) -> list[list[tuple[int, int, in
     for text in same:  # equal texts are read once
         group.append(text)
         chars += len(text)
-        if chars >= GROUP * STRIDE:
+        if chars >= GROUP:
             _tag(group, model, same, spans)
             group, chars = [], 0
     if group:
@@ -226,35 +247,61 @@ def _tag(group: list[str], model: Tagger, same: dict[str, list[int]], spans: lis
     """Blend the scores of all windows of some texts, and add the spans of the best path to their rows."""
     sizes = np.array([len(t) for t in group])
     windows = np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1
-    # Texts lie one after the other in blocks of STRIDE characters, with an empty block behind each.
-    block = np.append(0, np.cumsum(windows + 2))
-    codes = np.full(int(block[-1]) * STRIDE, PAD, np.uint8)
+    # Texts lie one after the other in blocks of characters, with an empty block behind each.
+    blocks = windows * (BLOCKS - 1) + 2
+    block = np.append(0, np.cumsum(blocks))
+    codes = np.full(int(block[-1]) * BLOCK, PAD, np.uint8)
     for text, k in zip(group, block[:-1].tolist(), strict=True):
-        codes[k * STRIDE : k * STRIDE + len(text)] = numbers(text)
-    own = np.repeat(block[:-1] - np.append(0, np.cumsum(windows)[:-1]), windows) + np.arange(int(windows.sum()))
-    blend = np.zeros((int(block[-1]), STRIDE, TAGS), np.float32)
-    weight = np.zeros((int(block[-1]), STRIDE), np.float32)
+        codes[k * BLOCK : k * BLOCK + len(text)] = numbers(text)
+    number = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    own = np.repeat(block[:-1], windows) + number * (BLOCKS - 1)
+    blend = np.zeros((TAGS, int(block[-1]), BLOCK), np.float32)
+    weight = np.zeros((int(block[-1]), BLOCK), np.float32)
     for part in np.array_split(own, -(-len(own) // 512)):  # one text may be long
-        scores = model.emissions(codes[part[:, None] * STRIDE + np.arange(WINDOW)]) * _EDGE[:, None]
-        for half in (0, 1):
-            blend[part + half] += scores[:, half * STRIDE : (half + 1) * STRIDE]
-            weight[part + half] += _EDGE[half * STRIDE : (half + 1) * STRIDE]
-    blend /= np.maximum(weight, 1)[:, :, None]
-    tags = model.best_path(blend.reshape(-1, TAGS), block[:-1] * STRIDE, sizes)
-    begins = np.flatnonzero(tags % 2 == 1)
-    owner = np.searchsorted(block * STRIDE, begins, side="right") - 1
-    for a, g in zip(begins.tolist(), owner.tolist(), strict=True):
-        text, low, b = group[g], int(block[g]) * STRIDE, a + 1
-        while tags[b] == tags[a] + 1:  # the block behind a text has tag 0
-            b += 1
-        start, end = a - low, b - low
-        while end > start and text[end - 1].isspace():
-            end -= 1
-        while start < end and text[start].isspace():
-            start += 1
-        if start < end:
-            for row in same[text]:
-                spans[row].append((int(tags[a] // 2), start, end))
+        scores = model.emissions(codes[part[:, None] * BLOCK + np.arange(WINDOW)])
+        for k in range(BLOCKS):  # two windows of a part never add to one block at the same k
+            edge = _EDGE[k * BLOCK : (k + 1) * BLOCK]
+            blend[:, part + k] += scores[:, :, k * BLOCK : (k + 1) * BLOCK] * edge
+            weight[part + k] += edge
+    blend /= np.maximum(weight, 1)
+    blend = blend.reshape(TAGS, -1)
+    tags = model.best_path(blend, block[:-1] * BLOCK, sizes, MARGIN)
+    # Stretches of other tags than 0 in one sweep; the block behind a text has tag 0.
+    busy = np.concatenate([[0], (tags > 0).astype(np.int8), [0]])
+    begins, ends = np.flatnonzero(np.diff(busy) == 1), np.flatnonzero(np.diff(busy) == -1)
+    owner = np.searchsorted(block * BLOCK, begins, side="right") - 1
+    trans = model.w["trans"]
+    for a, b, g in zip(begins.tolist(), ends.tolist(), owner.tolist(), strict=True):
+        low, path = int(block[g]) * BLOCK, tags[a:b]
+        odds = float((blend[path, np.arange(a, b)] - blend[0, a:b]).sum() + (trans[path[:-1], path[1:]] - trans[0, 0]).sum())
+        odds += float(trans[0, path[0]] - trans[0, 0]) if a > low else 0.0
+        odds += float(trans[path[-1], 0] - trans[0, 0]) if b < low + sizes[g] else 0.0
+        if odds < MARGIN:
+            continue
+        cuts = [a + k for k in np.flatnonzero(path % 2 == 1).tolist()] + [b]
+        for x, y in zip(cuts, cuts[1:]):
+            _add(group[g], int(tags[x] // 2), x - low, y - low, same, spans)
+
+
+def _add(text: str, kind: int, start: int, end: int, same: dict[str, list[int]], spans: list[list]) -> None:
+    while end > start and text[end - 1].isspace():
+        end -= 1
+    while start < end and text[start].isspace():
+        start += 1
+    if start < end:
+        for row in same[text]:
+            spans[row].append((kind, start, end))
+
+
+def _union(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order and apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def find_spans(found: list[str], model: Tagger) -> list[tuple[list, list]]:
@@ -263,8 +310,11 @@ def find_spans(found: list[str], model: Tagger) -> list[tuple[list, list]]:
     for text, more in zip(found, model_spans(found, model), strict=True):
         base = base_spans(text)
         spans = list(base)
+        taken = _union(base)
+        starts = [x for x, _ in taken]
         for kind, a, b in more:
-            if all(b <= x or y <= a for _, x, y in base):
+            k = bisect.bisect_left(starts, b) - 1  # the last taken stretch that begins before b
+            if k < 0 or taken[k][1] <= a:
                 spans.append((kind, a, b))
         out.append((base, sorted(spans)))
     return out
