@@ -145,7 +145,7 @@ def test_pii_rows_and_mask(docs, empty, rows, tagger):
 def test_tagger_learns_its_spans(tagger):
     model = pii.train(["plain prose about nothing much at all and some more words to be used here " * 3], steps=150)
     chars, tags = pii.training_rows(["other words stand in this line, and nothing else is in it at all today " * 3], 200, seed=9)
-    got = model.decode(model.emissions(chars), np.full(len(chars), pii.WINDOW))
+    got = model.decode(model.emissions(chars).transpose(1, 2, 0), np.full(len(chars), pii.TRAIN_WINDOW))
     assert (got == tags)[tags > 0].mean() > 0.8
 
 
@@ -167,11 +167,26 @@ def test_best_path_equals_stepwise_decoding():
         first = np.append(0, np.cumsum(sizes + 1)[:-1])
         scores = rng.standard_normal((int(sizes.sum()) + len(sizes), pii.TAGS)).astype(np.float32)
         scores[:, 0] += low
-        tags = model.best_path(scores, first, sizes)
+        tags = model.best_path(np.ascontiguousarray(scores.T), first, sizes)
         for a, n in zip(first, sizes, strict=True):
             assert tags[a : a + n].tolist() == model.decode(scores[None, a : a + n], np.array([n]))[0].tolist()
 
 
+def test_a_margin_drops_weak_stretches_only(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = pii.Tagger(pii.TAGS, pii._allowed(), 6)
+    model.w = {k: rng.standard_normal(v.shape).astype(np.float32) * 1.3 for k, v in model.w.items()}
+    model.w["bias"][0] += 2.0
+    found = ["".join(rng.choice(list("ab1@. "), n)) for n in (0, 1, 5, 300, 900, 2000)]
+    every = {}
+    for margin in (0.0, 2.0, 5.0):
+        monkeypatch.setattr(pii, "MARGIN", margin)
+        every[margin] = [set(s) for s in pii.model_spans(found, model)]
+    assert sum(map(len, every[0.0])) > sum(map(len, every[5.0])) > 0
+    for a, b in ((0.0, 2.0), (2.0, 5.0)):
+        assert all(x >= y for x, y in zip(every[a], every[b]))
+
+
 def test_spans_do_not_break_at_windows(tagger):
     text = "word " * 11 + "reach me at +1 (415) 555-0100 " + "word " * 40
     assert (3, 67, 84) in pii.find_spans([text], tagger)[0][0]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,15 +23,36 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+#: Bytes of a batch that are worked on together.
+PIECE = 8 << 20
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and the next stage needs room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about PIECE bytes, or of one row."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * PIECE // max(batch.nbytes, PIECE))
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def per_batch(
     df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
     """Map every Arrow batch of a table on its own; a batch may vanish."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None:
+        for batch in pieces_of(batches):
+            if (out := step(batch)) is not None:
                 yield out
+        give_back()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

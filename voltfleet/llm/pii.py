@@ -38,7 +38,7 @@ TRAIN_WINDOW, HIDDEN = 64, 12
 MARGIN = 3.0
 SAMPLE, SAMPLE_CHARS, TRAIN_ROWS = 2000, 8000, 6000
 #: Characters whose best paths are sought together.
-GROUP = 1 << 17
+GROUP = 1 << 19
 #: Share of the training windows that hold nothing but prose.
 PLAIN = 0.35
 #: Tags: outside, then first and further characters of each kind.
