@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import materialise
 from . import words
-from .frames import per_batch, table
+from .frames import give_back, per_batch, table
 
 TABLE, LONG, SLOTS = 500_000, 128, 1 << 18
 NEVER = 2**31 - 1
@@ -294,6 +294,7 @@ def word_table(docs: DataFrame, ranks: Ranks, most: int = TABLE) -> Table:
     lists = got["ids"].combine_chunks()
     ids = lists.values.to_numpy(zero_copy_only=False).astype(np.int32) if len(lists) else np.zeros(0, np.int32)
     edges = lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
+    del got, data, lists
     order = np.argsort(hashes)
     return Table(hashes[order], edges[:-1][order], np.diff(edges)[order], ids)
 
@@ -355,8 +356,15 @@ def encode(docs: DataFrame, path: str, most: int = TABLE) -> DataFrame:
 
 def _coded(docs: DataFrame, path: str, most: int, digests: bool) -> DataFrame:
     spark: SparkSession = docs.sparkSession
+    give_back()  # the driver, too, may come from another stage
     ranks = Ranks.read(path)
-    shared = spark.sparkContext.broadcast((ranks.tokens, word_table(docs, ranks, most)))
+    encoded = word_table(docs, ranks, most)
+    tokens = ranks.tokens
+    del ranks
+    give_back()
+    shared = spark.sparkContext.broadcast((tokens, encoded))
+    del tokens, encoded
+    give_back()
     state: dict[str, object] = {}
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
