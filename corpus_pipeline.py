@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltfleet.llm import bpe, fmindex, near, pii, toxicity
-from voltfleet.llm.frames import table
+from voltfleet.llm.frames import give_back, table
 from voltfleet.sources.workspace import materialise
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression distance does not reject."""
-    return toxicity.drop_toxic(docs, toxicity.train_on(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.train_on(docs, table(spark, sf_dir, "labels"))
+    give_back()
+    return toxicity.drop_toxic(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
-    return pii.mask(docs, pii.train_on(docs))
+    model = pii.train_on(docs)
+    give_back()
+    return pii.mask(docs, model)
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
