@@ -19,7 +19,7 @@ import replay  # noqa: E402
 from oracles import oracles  # noqa: E402
 from voltfleet.functions import derive  # noqa: E402
 from voltfleet.operators import dedup, fill, metrics, outliers, quality, realtime, reports  # noqa: E402
-from voltfleet.plans import cleaning, warehouse  # noqa: E402
+from voltfleet.plans import cleaning, incremental, warehouse  # noqa: E402
 from voltfleet.schema import normalise  # noqa: E402
 from voltfleet.sources import files, messages, sample  # noqa: E402
 from voltfleet.sources.workspace import fresh_folder, materialise  # noqa: E402
@@ -266,6 +266,21 @@ def _warehouse_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done["dws"]
 
 
+#: Records that come with a second delivery: the last day, and late ones of another day.
+SECOND = "(date = DATE '2024-01-04' OR date = DATE '2024-01-02' AND seq % 50 = 7)"
+
+
+def _delivered(layer: str) -> Query:
+    """A layer of a warehouse that has taken all records in two deliveries."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, out = _raw(spark, sf_dir), fresh_folder(spark, "deliveries")
+        incremental.deliver(raw.filter(f"NOT {SECOND}"), out, "first")
+        return incremental.deliver(raw.filter(SECOND), out, "second")[layer]
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: raw records to the eight daily metrics of each vehicle."""
     return _daily(spark, "/root/testdata/sf0.001")
@@ -377,6 +392,9 @@ def queries() -> dict[str, Query]:
         "newest_file": _newest_file,
         "latest_report": _latest_report,
         "warehouse_layers": _warehouse_layers,
+        "delivered_details": _delivered("dwd"),
+        "delivered_metrics": _delivered("dws"),
+        "delivered_windows": lambda s, d: _delivered("realtime")(s, d).drop("date"),
     }
     text = {}
     if text_queries:

@@ -692,5 +692,8 @@ def oracles() -> dict[str, str]:
         "sink_metrics": q("daily", UNION),
         "newest_file": q("telemetry", f"SELECT {ALL}, {DATED} FROM telemetry WHERE speed IS NOT NULL"),
         "warehouse_layers": DAILY,
+        "delivered_details": DETAIL,
+        "delivered_metrics": DAILY,
+        "delivered_windows": LAST100,
     }
     return {**batch, **report, **reports, **streams, **sinks}

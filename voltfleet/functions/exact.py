@@ -56,11 +56,15 @@ def _sums(parts: list[str], wild: str, over: str, wide: bool) -> str:
     return let("s", f"named_struct({held}, 'wild', coalesce(sum({wild}) {over}, 0L))", body)
 
 
-def limb_sums(value: str, over: str = "", wide: bool = False) -> str:
-    """Sums of the limbs, as an aggregate or over a window; all 0 where every value is null."""
+def limb_sums(value: str, over: str = "", wide: bool = False, times: str = "1L") -> str:
+    """Sums of the limbs, as an aggregate or over a window; all 0 where every value is null.
+
+    ``times``: how often each value counts.
+    """
     kept = _within(value)
     wild = f"CAST({value} IS NOT NULL AND NOT abs({value}) < {REACH!r}D AS BIGINT)"
-    return _sums([_limb(f"({kept})", k) for k in range(TOP + 1)], wild, over, wide)
+    often = "" if times == "1L" else f" * {times}"
+    return _sums([_limb(f"({kept})", k) + often for k in range(TOP + 1)], wild, over, wide)
 
 
 def halves(value: str, name: str) -> dict[str, str]:

@@ -38,24 +38,37 @@ def fill_plan(
     numeric. Integer columns take the lower of the two middle values, so that a 0/1
     flag never becomes a fraction.
     """
-    strategy = dict(cfg.fill_strategy if strategy is None else strategy)
     _, counts = null_counts(df)
     nulls = {c: n for c, n in counts.items() if n > 0}
-    how = {c: strategy.get(c, strategy.get("default", "median")) for c in nulls}
-    unknown = {m for m in how.values() if m not in METHOD_NAMES}
-    if unknown:
-        raise ValueError(f"unknown fill strategy: {sorted(unknown)}")
-    numeric, whole = set(numeric_columns(df)), integer_columns(df)
-    how = {c: m for c, m in how.items() if m in ("ffill", "bfill") or c in numeric}
-
+    how = methods(df, list(nulls), strategy, cfg)
     median_of = [c for c, m in how.items() if m == "median"]
     medians = exact_quantiles(df, median_of, [0.5])
     values = {c: v[0] for c, v in medians.items()}
     mean_of = [c for c, m in how.items() if m == "mean"]
     if mean_of:
         values.update(df.selectExpr(*named({c: exact_avg(c, wide=True) for c in mean_of})).first().asDict())
-    values.update({c: 0.0 for c, m in how.items() if m == "zero"})
-    for c in whole & values.keys():
+    return plan_of(df, how, values, nulls)
+
+
+def methods(
+    df: DataFrame, columns: list[str], strategy: dict[str, str] | None = None, cfg: Settings = DEFAULTS
+) -> dict[str, str]:
+    """How each column is filled; those no strategy can fill are left out."""
+    strategy = dict(cfg.fill_strategy if strategy is None else strategy)
+    how = {c: strategy.get(c, strategy.get("default", "median")) for c in columns}
+    unknown = {m for m in how.values() if m not in METHOD_NAMES}
+    if unknown:
+        raise ValueError(f"unknown fill strategy: {sorted(unknown)}")
+    numeric = set(numeric_columns(df))
+    return {c: m for c, m in how.items() if m in ("ffill", "bfill") or c in numeric}
+
+
+def plan_of(
+    df: DataFrame, how: dict[str, str], values: dict[str, float | None], nulls: dict[str, int]
+) -> list[dict]:
+    """The plan's rows, from medians and means as they were found."""
+    values = {**values, **{c: 0.0 for c, m in how.items() if m == "zero"}}
+    for c in integer_columns(df) & values.keys():
         values[c] = None if values[c] is None else int(values[c] // 1)
     return [
         {"column": c, "strategy": m, "value": values.get(c), "filled_count": nulls[c]}
@@ -64,7 +77,11 @@ def fill_plan(
 
 
 def apply_fill(
-    df: DataFrame, plan: list[dict], scope: str = "vehicle", unique: bool = False
+    df: DataFrame,
+    plan: list[dict],
+    scope: str = "vehicle",
+    unique: bool = False,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     constants = {p["column"]: p["value"] for p in plan if p["value"] is not None}
     kinds = dict(df.dtypes)
@@ -74,7 +91,7 @@ def apply_fill(
     forward = [p["column"] for p in plan if p["strategy"] == "ffill"]
     backward = [p["column"] for p in plan if p["strategy"] == "bfill"]
     if forward or backward:
-        df = fill_along_time(with_date(df), forward, backward, scope, unique)
+        df = fill_along_time(with_date(df), forward, backward, scope, unique, edges)
     return df
 
 

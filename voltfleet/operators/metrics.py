@@ -44,6 +44,7 @@ METRIC_COLUMNS: dict[str, list[str]] = {
 }
 
 _CHANGING = ("at", "speed", "charging_status", "soc")
+EVE = tuple(f"eve_{c}" for c in _CHANGING)
 
 
 def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
@@ -56,8 +57,9 @@ def _events(now: str, before: str, cfg: Settings) -> dict[str, str]:
     }
 
 
-def _daily_sums(df: DataFrame, cfg: Settings) -> DataFrame:
+def daily_sums(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """One row per vehicle and day: exact sums, and the day's first and last record."""
+    df = with_date(df).filter("vehicle_id IS NOT NULL AND date IS NOT NULL")
     chunk = "(PARTITION BY vehicle_id, date ORDER BY timestamp, seq)"
     recovering = "battery_current < 0"
     if not cfg.recovery_includes_charging:
@@ -96,12 +98,17 @@ def daily_metrics(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
 
     Expects cleaned records. Those without a vehicle or a day belong to no group.
     """
-    df = with_date(df).filter("vehicle_id IS NOT NULL AND date IS NOT NULL")
-    sums = _daily_sums(df, cfg)
+    return metrics_of(with_eve(daily_sums(df, cfg)), cfg)
+
+
+def with_eve(sums: DataFrame) -> DataFrame:
+    """Add to each day's sums the last record of the vehicle's day before."""
     days = "(PARTITION BY vehicle_id ORDER BY date)"
-    sums = sums.selectExpr(
-        "*", *named({f"eve_{c}": f"lag(last_{c}) OVER {days}" for c in _CHANGING})
-    )
+    return sums.selectExpr("*", *named({e: f"lag(last_{c}) OVER {days}" for e, c in zip(EVE, _CHANGING, strict=True)}))
+
+
+def metrics_of(sums: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """The metrics of each day from its own sums and the eve's last record."""
     overnight = _events("first_", "eve_", cfg)
 
     hours = f"{cfg.interval_hours!r}D"

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from voltfleet.sources.workspace import materialise
@@ -118,13 +118,15 @@ def fill_along_time(
     backward: Sequence[str],
     scope: str = "vehicle",
     unique: bool = False,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Replace nulls by the nearest earlier (later) value; leading (trailing) ones stay.
 
     ``scope="vehicle"`` follows each vehicle's time. ``scope="table"`` follows the
     ingest order of the whole table, across vehicles; it needs a whole-number ``seq``,
     and cuts the table into ranges of it. ``unique``: see ``order_key``. All columns
-    share one window pass.
+    share one window pass. ``edges``: what the chunks' neighbours hand over (``carried_over``),
+    where ``df`` holds only part of the days.
     """
     if not forward and not backward:
         return df
@@ -144,30 +146,44 @@ def fill_along_time(
     else:
         raise ValueError(f"unknown fill scope: {scope}")
 
+    if edges is None:
+        own = df.groupBy(*chunk).agg(*edge_values(forward, backward, order))
+        edges = carried_over(own, chunk, days, forward, backward)
+    # Backwards as a running frame over the reversed order: a frame that starts at
+    # the current row would be scanned anew for every row.
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    up_to, down_to = rows.orderBy(*up).rowsBetween(*so_far), rows.orderBy(*down).rowsBetween(*so_far)
+    joined = df.join(edges, chunk, "left")
+    filled = {
+        **{c: F.coalesce(F.last(c, True).over(up_to), F.col(f"_before_{c}")) for c in forward},
+        **{c: F.coalesce(F.last(c, True).over(down_to), F.col(f"_after_{c}")) for c in backward},
+    }
+    return joined.withColumns(filled).select(*columns)
+
+
+def edge_values(forward: Sequence[str], backward: Sequence[str], order: str) -> list[Column]:
+    """Aggregates of a chunk: its last known values and, for backward columns, its first ones."""
+
     def known(c: str) -> str:
         return f"CASE WHEN {c} IS NOT NULL THEN {order} END"
 
-    edges = df.groupBy(*chunk).agg(
+    return [
         *[F.expr(f"max_by({c}, {known(c)}) AS _last_{c}") for c in forward],
         *[F.expr(f"min_by({c}, {known(c)}) AS _next_{c}") for c in backward],
-    )
+    ]
+
+
+def carried_over(
+    own: DataFrame, chunk: Sequence[str], days: WindowSpec, forward: Sequence[str], backward: Sequence[str]
+) -> DataFrame:
+    """Per chunk, the nearest known values before and after it; ``own`` holds ``edge_values``."""
     before = days.rowsBetween(Window.unboundedPreceding, -1)
     after = days.rowsBetween(1, Window.unboundedFollowing)
-    edges = edges.select(
+    return own.select(
         *chunk,
         *[F.last(f"_last_{c}", True).over(before).alias(f"_before_{c}") for c in forward],
         *[F.first(f"_next_{c}", True).over(after).alias(f"_after_{c}") for c in backward],
     )
-    # Backwards as a running frame over the reversed order: a frame that starts at
-    # the current row would be scanned anew for every row.
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    up_to, down_to = rows.orderBy(*up).rowsBetween(*so_far), rows.orderBy(*down).rowsBetween(*so_far)
-    joined = df.join(edges, chunk, "left")
-    filled = {
-        **{c: F.coalesce(F.last(c, True).over(up_to), F.col(f"_before_{c}")) for c in forward},
-        **{c: F.coalesce(F.last(c, True).over(down_to), F.col(f"_after_{c}")) for c in backward},
-    }
-    return joined.withColumns(filled).select(*columns)
 
 
 def with_position(df: DataFrame, name: str = "position") -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltfleet.functions.numbers import named, number, rows
+from voltfleet.functions.numbers import named, number, rows, text
 from voltfleet.sources.workspace import materialise
 
 
@@ -21,16 +21,22 @@ def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Column -> quantiles with linear interpolation; nulls are left out."""
-    columns, probabilities = list(columns), list(probabilities)
-    if not columns:
-        return {}
-    pairs = [f"named_struct('target', {i}, 'value', CAST({c} AS DOUBLE))" for i, c in enumerate(columns)]
-    counts = (
-        df.selectExpr(rows(pairs))
-        .filter("value IS NOT NULL")
-        .groupBy("target", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    columns = list(columns)
+    return quantiles_of(value_counts(df, columns), columns, probabilities) if columns else {}
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """How often each value of each column occurs: target (the column), value, n."""
+    pairs = [f"named_struct('target', {text(c)}, 'value', CAST({c} AS DOUBLE))" for c in columns]
+    laid_out = df.selectExpr(*by, rows(pairs)).filter("value IS NOT NULL")
+    return laid_out.groupBy(*by, "target", "value").agg(F.count("*").alias("n"))
+
+
+def quantiles_of(
+    counts: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> dict[str, list[float | None]]:
+    """Column -> quantiles, from one row per column and distinct value (``value_counts``)."""
+    probabilities = list(probabilities)
     # Written, since the borders of the ranges are sampled anew when it is computed anew.
     placed = materialise(
         counts.repartitionByRange("target", "value").withColumn("part", F.spark_partition_id()), "ranks"
@@ -59,4 +65,4 @@ def exact_quantiles(
         )
     found = ranked.groupBy("target").agg(*[F.expr(e) for e in named(wanted)]).collect()
     by_target = {r["target"]: [r[f"q{k}"] for k in range(len(probabilities))] for r in found}
-    return {c: by_target.get(i, [None] * len(probabilities)) for i, c in enumerate(columns)}
+    return {c: by_target.get(c, [None] * len(probabilities)) for c in columns}
