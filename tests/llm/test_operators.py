@@ -495,3 +495,27 @@ def test_secrets_by_owner(spark, docs, empty, rows):
     assert len(odd) == len(rows)
     assert all(set(filter(None, r["base"].split(","))) <= set(filter(None, r["spans"].split(","))) for r in odd)
     assert secrets.detect(empty).count() == 0
+
+
+def test_secrets_verdict_by_brute_force(spark):
+    """Both counts decide: owners, and repositories whoever owns them."""
+    tokens = [f"{k}zX9qLm2Vt7Rk4Bn8Wc3Yd{k}" for k in "abcd"]
+    most = secrets.MOST_REPOSITORIES
+    table = [(n, f"use {tokens[0]} here", "one") for n in range(most)]
+    table += [(n, f"use {tokens[1]} here", "one") for n in range(100, 101 + most)]
+    table += [(200 + n, f"key {tokens[2]}, {tokens[3]}", f"owner{n % 2}") for n in range(6)]
+    table += [(300, f"key {tokens[3]}", "third"), (300, f"key {tokens[3]}", "third"), (301, f"password={tokens[1]}", "one")]
+    found = secrets.detect(spark.createDataFrame(table, "doc_id long, text string, source string")).collect()
+    want = []
+    for doc_id, text, _ in table:
+        base = {(a, k, b): v for a, k, b, v in secrets.base_spans(text)}
+        held = {(a, k, b): v for a, k, b, v in secrets.candidates(text, secrets.base_spans(text))}
+        live = set()
+        for span, value in held.items():
+            rows = [(d, o) for d, t, o in table if value in t]
+            if len({o for _, o in rows}) <= secrets.MOST_OWNERS and len({d for d, _ in rows}) <= most:
+                live.add(span)
+        names = [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(set(base) | live)]
+        want.append((doc_id, ",".join(names), len(live), len(held) - len(live)))
+    assert sorted((r["doc_id"], r["spans"], r["n_live"], r["n_copied"]) for r in found) == sorted(want)
+    assert {w[1] == "" for w in want if 100 <= w[0] < 200} == {True}

@@ -3,8 +3,9 @@
 Three plain patterns give the base spans. Besides them, long tokens of mixed characters are
 candidates. The values of all candidates are hashed and counted over the whole corpus, by
 distinct repositories (``doc_id`` here) and distinct owners (``source`` here). A value that
-more than ``MOST_OWNERS`` owners hold is a widely copied example; any other is owner-specific
-and looks live. Live candidates become spans of the kind ``other``; base spans always stay.
+more than ``MOST_OWNERS`` owners hold, or more than ``MOST_REPOSITORIES`` repositories whoever owns
+them, is a widely copied example; any other is owner-specific and looks live. Values and rows are
+told apart by 128 bits and more. Live candidates become spans of the kind ``other``; base spans always stay.
 
 Only hashes of values are shuffled, with owner and repository, and they are made distinct
 before they are counted, so a value in a third of all texts is spread over tasks. Null and
@@ -20,14 +21,14 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import materialise
 from .frames import per_batch, table, texts
 
 KINDS = ("assign", "access", "hex", "other")
-MOST_OWNERS, LEAST_ENTROPY = 2, 3.2
+MOST_OWNERS, MOST_REPOSITORIES, LEAST_ENTROPY = 2, 20, 3.2
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
@@ -62,11 +63,15 @@ def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[i
     return base + more
 
 
-def _hash(value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def _hash(value: str) -> bytes:
+    return hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=16).digest()
 
 
-_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("value", pa.int64())])
+def _identity(column: str) -> Column:
+    return F.coalesce(F.md5(F.col(column).cast("string").cast("binary")), F.lit("-"))
+
+
+_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("value", pa.binary())])
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
@@ -86,14 +91,14 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select(
         "doc_id",
-        F.xxhash64("doc_id", "text").alias("row"),
+        F.concat(_identity("doc_id"), _identity("text")).alias("row"),
         F.xxhash64(F.col(owner)).alias("owner"),
         F.xxhash64(F.col(repository)).alias("repository"),
         "text",
     )
     return per_batch(
-        named, step, f"doc_id {kind}, row long, owner long, repository long, base string, "
-        "found array<struct<start:int,kind:int,end:int,value:long>>",
+        named, step, f"doc_id {kind}, row string, owner long, repository long, base string, "
+        "found array<struct<start:int,kind:int,end:int,value:binary>>",
     )
 
 
@@ -108,7 +113,8 @@ def detect(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
     """doc_id, base line, all spans, and numbers of live and of copied candidates of every row."""
     found = materialise(scan(docs, owner, repository), "secrets")
     single = found.filter(F.size("found") > 0).select("row", F.explode("found").alias("c")).select("row", "c.*").distinct()
-    judged = single.join(ownership(found), "value").withColumn("live", F.col("owners") <= MOST_OWNERS)
+    specific = (F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)
+    judged = single.join(ownership(found), "value").withColumn("live", specific)
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     span = F.struct("start", "kind", F.concat_ws(":", kind, "start", "end").alias("name"))
     by_row = judged.groupBy("row").agg(
