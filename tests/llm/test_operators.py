@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from voltfleet.llm import bpe, fmindex, frames, language, near, pii, quality, rules, secrets, substrings, toxicity, words  # noqa: E402
+from voltfleet.llm import bilstm, bpe, fmindex, frames, language, near, pii, quality, rules, secrets, substrings, toxicity, words  # noqa: E402
 from voltfleet.llm.components import components  # noqa: E402
 
 random.seed(4)
@@ -172,6 +172,40 @@ def test_best_path_equals_stepwise_decoding():
             assert tags[a : a + n].tolist() == model.decode(scores[None, a : a + n], np.array([n]))[0].tolist()
 
 
+def _stepwise(model, scores):
+    """Best tags of one row, tag by tag."""
+    barred, trans = model.barred < 0, model.w["trans"]
+    best, ways = scores[0], []
+    for e in scores[1:]:
+        came = np.where(barred, -np.inf, best[:, None] + trans)
+        ways.append(came.argmax(axis=0))
+        best = came.max(axis=0) + e
+    tags = [int(best.argmax())]
+    for way in reversed(ways):
+        tags.append(int(way[tags[-1]]))
+    return tags[::-1]
+
+
+def test_both_directions_at_once_equal_plain_steps_and_few_rows_cost_few_calls():
+    rng = np.random.default_rng(8)
+    model = pii.Tagger(pii.TAGS, pii._allowed(), pii.HIDDEN)
+    model.w = {k: v + rng.standard_normal(v.shape).astype(np.float32) * 0.1 for k, v in model.w.items()}
+    chars = rng.integers(0, bilstm.SYMBOLS, (70, 90))
+    w = model.w
+    ahead, back = bilstm._run(chars, w["xf"], w["uf"], False)[0], bilstm._run(chars[:, ::-1], w["xb"], w["ub"], False)[0]
+    want = np.concatenate([ahead, back[:, ::-1]], axis=2) @ w["out"] + w["bias"]
+    got = model.emissions(chars).transpose(1, 2, 0)
+    assert np.abs(got - want).max() < 1e-3
+    sizes = rng.integers(1, 91, 70)
+    calls = []
+    with pytest.MonkeyPatch.context() as patch:  # the calls of one step must not grow with the pairs of tags
+        patch.setattr(bilstm.np, "full", lambda *a, plain=np.full, **b: (calls.append(1), plain(*a, **b))[1])
+        tags = model.decode(got, sizes)
+    assert len(calls) < 90
+    for row, n in enumerate(sizes):
+        assert tags[row, :n].tolist() == _stepwise(model, got[row, :n]) and not tags[row, n:].any()
+
+
 def test_a_margin_drops_weak_stretches_only(monkeypatch):
     rng = np.random.default_rng(4)
     model = pii.Tagger(pii.TAGS, pii._allowed(), 6)

@@ -86,41 +86,40 @@ class Tagger:
         }
 
     def emissions(self, chars: np.ndarray) -> np.ndarray:
-        """Scores of (tag, row, step): rows lie along the last axis while states are run."""
+        """Scores of (tag, row, step). Both directions run at once, each gate's states end to end."""
         w, size = self.w, self.hidden
         rows, steps = chars.shape
-        out = np.empty((steps, self.tags, rows), np.float32)
-        out[:] = w["bias"][:, None]
+        out = np.empty((steps, rows, self.tags), np.float32)
+        out[:] = w["bias"]
         line = np.ascontiguousarray(chars.T).astype(np.intp)
-        # A gate is 1 / (1 + exp(-z)): the sign is turned in the weights.
-        turn = np.where(np.arange(4 * size) < 3 * size, -1, 1).astype(np.float32)
-        for x, u, proj, order in (
-            (w["xf"], w["uf"], w["out"][:size], range(steps)),
-            (w["xb"], w["ub"], w["out"][size:], range(steps - 1, -1, -1)),
-        ):
-            x, u, proj = np.ascontiguousarray((x * turn).T), np.ascontiguousarray((u * turn).T), np.ascontiguousarray(proj.T)
-            h, c = np.zeros((size, rows), np.float32), np.zeros((size, rows), np.float32)
-            z, own = np.empty((4 * size, rows), np.float32), np.empty((4 * size, rows), np.float32)
-            gates, g = z[: 3 * size], z[3 * size :]
-            i, f, o = gates[:size], gates[size : 2 * size], gates[2 * size :]
-            score = np.empty((self.tags, rows), np.float32)
-            with np.errstate(over="ignore"):
-                for t in order:
-                    np.matmul(u, h, out=z)
-                    np.take(x, line[t], axis=1, out=own, mode="clip")
-                    z += own
-                    np.exp(gates, out=gates)
-                    gates += 1
-                    np.reciprocal(gates, out=gates)
-                    np.tanh(g, out=g)
-                    c *= f
-                    g *= i
-                    c += g
-                    np.tanh(c, out=h)
-                    h *= o
-                    np.matmul(proj, h, out=score)
-                    out[t] += score
-        return out.transpose(1, 2, 0)
+        # A gate is (1 + tanh(z / 2)) / 2: the inner half is in its weights, the outer one in what reads c and h.
+        half = np.where(np.arange(4 * size) < 3 * size, 0.5, 1).astype(np.float32)
+
+        def by_gate(ahead: np.ndarray, back: np.ndarray) -> np.ndarray:
+            return np.ascontiguousarray((np.stack([ahead, back]) * half).reshape(2, -1, 4, size).transpose(0, 2, 1, 3))
+
+        x, u = by_gate(w["xf"], w["xb"]), by_gate(w["uf"], w["ub"]) * np.float32(0.5)
+        proj = w["out"].reshape(2, size, -1) * np.float32(0.5)
+        z, own = np.empty((2, 4, rows, size), np.float32), np.empty((2, 4, rows, size), np.float32)
+        gates, (i, f, o, g) = z[:, :3], z.transpose(1, 0, 2, 3)
+        h, c, score = np.zeros_like(g), np.zeros_like(g), np.empty((2, rows, self.tags), np.float32)
+        for t in range(steps):
+            np.matmul(h[:, None], u, out=z)
+            np.take(x[0], line[t], axis=1, out=own[0], mode="clip")
+            np.take(x[1], line[-1 - t], axis=1, out=own[1], mode="clip")
+            z += own
+            np.tanh(z, out=z)
+            gates += 1
+            c *= f
+            g *= i
+            c += g
+            c *= np.float32(0.5)
+            np.tanh(c, out=h)
+            h *= o
+            np.matmul(h, proj, out=score)
+            for place, more in ((out[t], score[0]), (out[-1 - t], score[1])):
+                place += more
+        return np.ascontiguousarray(out.transpose(2, 1, 0))
 
     def _gradients(self, chars: np.ndarray, gold: np.ndarray) -> dict[str, np.ndarray]:
         w, grads = self.w, {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -170,30 +169,24 @@ class Tagger:
     def decode(self, emissions: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Best tags of padded rows of emissions; tags behind a row's size are 0."""
         rows, steps, k = emissions.shape
-        trans = (self.w["trans"] + self.barred).astype(np.float32)
-        # Rows lie along the last axis; of a tag only those that may come before it are compared.
-        before = [np.flatnonzero(self.barred[:, tag] == 0) for tag in range(k)]
+        trans = np.where(self.barred == 0, self.w["trans"], -np.inf).astype(np.float32)
+        # Rows lie along the last axis.
         line = np.ascontiguousarray(emissions.transpose(1, 2, 0))
-        score, ways = line[0].copy(), np.zeros((rows, steps, k), np.int8)
-        after = np.empty_like(score)
+        inside = np.arange(steps)[:, None] < sizes
+        into, score = trans.T[:, :, None], np.empty_like(line)
+        score[0] = line[0]
         for t in range(1, steps):
-            for tag in range(k):
-                came = before[tag]
-                best, way = score[came[0]] + trans[came[0], tag], np.full(rows, came[0], np.int8)
-                for tag_before in came[1:]:
-                    other = score[tag_before] + trans[tag_before, tag]
-                    way[other > best] = tag_before
-                    np.maximum(best, other, out=best)
-                ways[:, t, tag] = way
-                np.add(best, line[t, tag], out=after[tag])
-            score = np.where(t < sizes, after, score)
-        score = score.T
-        tags, now = np.zeros((rows, steps), np.int64), score.argmax(axis=1)
-        for t in range(steps - 1, -1, -1):
-            inside = t < sizes
-            tags[inside, t] = now[inside]
-            now = np.where(inside & (t > 0), ways[np.arange(rows), t, now], now)
-        return tags
+            np.max(score[t - 1] + into, axis=1, out=score[t])
+            score[t] += line[t]
+            np.copyto(score[t], score[t - 1], where=~inside[t])
+        # The way back asks for the best tag before the one at hand, the first of equal ones.
+        tags = np.zeros((steps, rows), np.int64)
+        now = score[-1].argmax(axis=0)
+        for t in range(steps - 1, 0, -1):
+            np.copyto(tags[t], now, where=inside[t])
+            np.copyto(now, (score[t - 1] + trans[:, now]).argmax(axis=0), where=inside[t])
+        np.copyto(tags[0], now, where=inside[0])
+        return tags.T
 
     def best_path(self, scores: np.ndarray, first: np.ndarray, sizes: np.ndarray, margin: float = 0.0) -> np.ndarray:
         """Best tags of rows that lie one after the other in scores (tag, place); 0 between them.

@@ -37,8 +37,8 @@ WINDOW, STRIDE = BLOCK * BLOCKS, BLOCK * (BLOCKS - 1)
 TRAIN_WINDOW, HIDDEN = 64, 12
 MARGIN = 3.0
 SAMPLE, SAMPLE_CHARS, TRAIN_ROWS = 2000, 8000, 6000
-#: Characters whose best paths are sought together.
-GROUP = 1 << 19
+#: Characters whose best paths are sought together, and windows that are scored together.
+GROUP, PART = 1 << 19, 1024
 #: Share of the training windows that hold nothing but prose.
 PLAIN = 0.35
 #: Tags: outside, then first and further characters of each kind.
@@ -221,7 +221,8 @@ def train_on(docs: DataFrame) -> Tagger:
     return train([r["text"] for r in rows])
 
 
-_EDGE = np.minimum(np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)), BLOCK).astype(np.float32)
+#: Weight of the later one of two windows in the block they share.
+_EDGE = (np.arange(1, BLOCK + 1) / (BLOCK + 1)).astype(np.float32)
 
 
 def model_spans(found: list[str], model: Tagger) -> list[list[tuple[int, int, int]]]:
@@ -256,14 +257,16 @@ def _tag(group: list[str], model: Tagger, same: dict[str, list[int]], spans: lis
     number = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
     own = np.repeat(block[:-1], windows) + number * (BLOCKS - 1)
     blend = np.zeros((TAGS, int(block[-1]), BLOCK), np.float32)
-    weight = np.zeros((int(block[-1]), BLOCK), np.float32)
-    for part in np.array_split(own, -(-len(own) // 512)):  # one text may be long
-        scores = model.emissions(codes[part[:, None] * BLOCK + np.arange(WINDOW)])
-        for k in range(BLOCKS):  # two windows of a part never add to one block at the same k
-            edge = _EDGE[k * BLOCK : (k + 1) * BLOCK]
-            blend[:, part + k] += scores[:, :, k * BLOCK : (k + 1) * BLOCK] * edge
-            weight[part + k] += edge
-    blend /= np.maximum(weight, 1)
+    # Where two windows meet, their weights add up to 1; a text's first and last block have one window.
+    begin, end = np.tile(_EDGE, (len(own), 1)), np.tile(_EDGE[::-1], (len(own), 1))
+    begin[number == 0], end[number == np.repeat(windows, windows) - 1] = 1, 1
+    for part in np.array_split(np.arange(len(own)), -(-len(own) // PART)):  # one text may be long
+        at = own[part]
+        scores = model.emissions(codes[at[:, None] * BLOCK + np.arange(WINDOW)])
+        for k in range(1, BLOCKS - 1):  # no other window holds these blocks
+            blend[:, at + k] = scores[:, :, k * BLOCK : (k + 1) * BLOCK]
+        blend[:, at] += scores[:, :, :BLOCK] * begin[part]
+        blend[:, at + BLOCKS - 1] += scores[:, :, -BLOCK:] * end[part]
     blend = blend.reshape(TAGS, -1)
     tags = model.best_path(blend, block[:-1] * BLOCK, sizes, MARGIN)
     # Stretches of other tags than 0 in one sweep; the block behind a text has tag 0.
